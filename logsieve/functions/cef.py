@@ -14,15 +14,15 @@ from logsieve.functions.records import last_wins
 
 HEADER_FIELDS = ("vendor", "product", "version", "signature_id", "name", "severity")
 
-_FIELD = r"([^|\\]*+(?:\\.[^|\\]*+)*+)"
-_HEADER = r"(?s)^CEF:[0-9]+\|" + r"\|".join([_FIELD] * len(HEADER_FIELDS)) + r"\|(.*)$"
-_MAGIC = r"^CEF:[0-9]+$"
-_KEY = r"(?:^|\s)([A-Za-z0-9_.\[\]]++)="
-_SPACES = " \t\n\x0b\x0c\r"
-
 # Lines of this many bytes or more are rejected unread.
 MAX_LINE_BYTES = 1024 * 1024
 
+# Each match is a bar and the text up to the next one that is not escaped; the first
+# follows the version, the others follow one another.
+_FIELD = r"(?s)(?:^CEF:[0-9]+|\G(?!^))\|([^|\\]*+(?:\\.[^|\\]*+)*+)"
+_KEY = r"(?:^|\s)([A-Za-z0-9_.\[\]]++)="
+_SPACES = " \t\n\x0b\x0c\r"
+
 
 def _unescape_header(field: Column) -> Column:
     return F.when(
@@ -45,56 +45,59 @@ def with_header(df: DataFrame, line: str) -> DataFrame:
     """Add `header`, a struct of the six header fields and the raw `extensions`; NULL
     where the line is not CEF or has too few header fields.
 
-    A header without backslashes, nearly every one, is cut by a plain split. Only the
-    others run the full pattern. The struct passes through a generator so that filters
-    on it are applied to the parsed value and do not repeat the parse.
+    One pattern pass cuts the line; what follows the six fields is taken by its position.
+    The struct passes through a generator so that filters on it are applied to the
+    parsed value and do not repeat the parse.
     """
-    value, parts = F.col(line), F.col("_parts")
-    n = len(HEADER_FIELDS)
-    magic, extensions = F.get(parts, F.lit(0)), F.get(parts, F.lit(n + 1))
-    escape_at = F.instr(value, "\\")
-    plain = (escape_at == 0) | (escape_at > F.length(value) - F.length(extensions))
-
-    def struct(fields: list[Column], rest: Column) -> Column:
-        return F.struct(
-            *[f.alias(name) for f, name in zip(fields, HEADER_FIELDS)], rest.alias("extensions")
-        )
-
-    by_split = struct([F.get(parts, F.lit(i + 1)) for i in range(n)], extensions)
-    by_pattern = struct(
-        [_unescape_header(F.regexp_extract(value, _HEADER, i + 1)) for i in range(n)],
-        F.regexp_extract(value, _HEADER, n + 1),
+    fields, n = F.col("_fields"), len(HEADER_FIELDS)
+    before = F.expr(
+        f"length(substring_index(`{line}`, '|', 1)) + length(concat_ws('|', slice(_fields, 1, {n})))"
     )
-    header = F.when((F.size(parts) == n + 2) & plain, F.when(magic.rlike(_MAGIC), by_split)).when(
-        escape_at.isNotNull() & (escape_at > 0) & value.rlike(_HEADER), by_pattern
+    header = F.struct(
+        *[_unescape_header(F.get(fields, F.lit(i))).alias(f) for i, f in enumerate(HEADER_FIELDS)],
+        F.col(line).substr(before + 3, F.length(line)).alias("extensions"),
     )
-    split = df.withColumn("_parts", F.split(value, r"\|", n + 2))
-    return split.select(*df.columns, F.explode(F.array(header)).alias("header"))
-
-
-def extension_entries(extensions: Column) -> Column:
-    """``(k, v)`` pairs in order. A value runs up to the next key, so it may hold bare
-    equals signs and spaces; white space after it is dropped."""
-    keys = F.regexp_extract_all(extensions, F.lit(_KEY), F.lit(1))
-    values = F.split(extensions, _KEY, -1)
-    return F.zip_with(
-        keys,
-        F.slice(values, F.lit(2), F.size(keys)),
-        lambda k, v: F.struct(
-            k.alias("k"), _unescape_value(F.rtrim(v, F.lit(_SPACES))).alias("v")
-        ),
+    cut = df.withColumn("_fields", F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1)))
+    return cut.select(
+        *df.columns, F.explode(F.array(F.when(F.size(fields) > n, header))).alias("header")
     )
 
 
-def extension_map(extensions: Column) -> Column:
-    """All extensions as a map; the last one of a repeated key wins."""
-    return F.map_from_entries(last_wins(extension_entries(extensions)))
+def with_extensions(df: DataFrame, extensions: Column) -> DataFrame:
+    """Add `_keys` and `_values`, the extensions in order. A value runs up to the next
+    key, so it may hold bare equals signs and spaces; the values are still escaped and
+    carry the white space behind them, and one more than the keys comes first."""
+    cut = df.withColumn("_extensions", extensions)
+    return cut.select(
+        *df.columns,
+        F.regexp_extract_all("_extensions", F.lit(_KEY), F.lit(1)).alias("_keys"),
+        F.split("_extensions", _KEY, -1).alias("_values"),
+    )
+
+
+def _clean(value: Column) -> Column:
+    return _unescape_value(F.rtrim(value, F.lit(_SPACES)))
 
 
-def extension_value(entries: Column, key: str) -> Column:
-    """The last value of one key among `extension_entries`, or the empty string."""
-    found = F.filter(entries, lambda e: e["k"] == key)
-    return F.coalesce(F.try_element_at(found, F.lit(-1))["v"], F.lit(""))
+def extension_value(key: str) -> Column:
+    """The last value of one key after `with_extensions`, or the empty string."""
+    behind = F.array_position(F.reverse("_keys"), key)
+    value = F.get("_values", (F.size("_keys") - behind + 1).cast("int"))
+    return F.coalesce(F.when(behind > 0, _clean(value)), F.lit(""))
+
+
+def with_extension_map(df: DataFrame, extensions: Column, name: str) -> DataFrame:
+    """Add all extensions as a map; the last one of a repeated key wins."""
+    entries = F.zip_with(
+        "_keys",
+        F.slice("_values", F.lit(2), F.size("_keys")),
+        lambda k, v: F.struct(k.alias("k"), _clean(v).alias("v")),
+    )
+    found = with_extensions(df, extensions).withColumn("_entries", entries)
+    unique = F.when(
+        F.size(F.array_distinct("_keys")) < F.size("_keys"), last_wins(F.col("_entries"))
+    ).otherwise(F.col("_entries"))
+    return found.select(*df.columns, F.map_from_entries(unique).alias(name))
 
 
 def severity(text: Column) -> Column:

@@ -1,91 +1,93 @@
 """Text to typed values with defaults, and the rule each rejected value broke.
 
-Every coercion comes as a pair: the value to store, and the name of the broken rule
-(NULL when the value was fine or absent). An absent or empty value is not a breach;
-it just takes the default.
+The functions take and give SQL text, to be used with `selectExpr` or `expr`; `text` is
+an expression of type string. An absent or empty value is not a breach, it just takes
+the default. The integer functions take the parsed `whole` number where it is already a
+column, so that a wide projection parses each value once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from logsieve.functions.text import strip
 from logsieve.schema import UINT_TYPES
 
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_WIDE_INTEGER = r"^[+-]?[0-9]{19,}$"
-_INTEGER = r"^[+-]?[0-9]+$"
+WIDE = "DECIMAL(20,0)"
+NO_ADDRESS = "0.0.0.0"
+
+_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+_LONG_INTEGER = r"^\s*[+-]?[0-9]{19,}\s*$"
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _IPV4 = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
 
-NO_ADDRESS = "0.0.0.0"
 
+def _matches(text: str, pattern: str) -> str:
+    return f"{text} RLIKE r'{pattern}'"
 
-def _present(text: Column) -> Column:
-    return text.isNotNull() & (text != "")
 
+def _unless_absent(text: str, fine: str, rule: str) -> str:
+    return f"CASE WHEN {fine} OR {text} IS NULL OR {text} = '' THEN NULL ELSE {rule} END"
 
-def _in_range(text: Column, kind: str, wide: str) -> tuple[Column, Column]:
-    """The parsed number and whether it fits the unsigned kind."""
-    limit, _ = UINT_TYPES[kind]
-    # try_cast to bigint already demands an optional sign and digits, padding aside.
-    small = text.try_cast("bigint")
-    if kind != "uint64" or wide == "bigint":
-        return small, small.between(F.lit(0), F.lit(min(limit, 2**63 - 1)))
-    # Only text too long for a bigint pays for the regex and the decimal parse.
-    big = F.when(
-        small.isNull() & strip(text).rlike(_WIDE_INTEGER), strip(text).try_cast("decimal(20,0)")
+
+def whole(text: str, kind: str, wide: str = WIDE) -> str:
+    """The whole number written in the text, else NULL. Padding and a sign are fine;
+    fractions, exponents and hex are not whole numbers."""
+    # try_cast already demands an optional sign and digits.
+    small = f"try_cast({text} AS BIGINT)"
+    if kind != "uint64" or wide.upper() == "BIGINT":
+        return small
+    # Only text too long for a bigint pays for the pattern and the decimal parse.
+    return (
+        f"coalesce(CAST({small} AS {WIDE}), "
+        f"CASE WHEN {_matches(text, _LONG_INTEGER)} THEN try_cast(trim({text}) AS {WIDE}) END)"
     )
-    number = F.coalesce(small.cast("decimal(20,0)"), big)
-    top = F.lit(str(limit)).cast("decimal(20,0)")
-    return number, (number >= F.lit(0)) & (number <= top)
 
 
-def to_uint(text: Column, kind: str, wide: str = "decimal(20,0)") -> Column:
-    """Unsigned integer in the sink type of `kind`, else 0.
+def _fits(number: str, kind: str, wide: str) -> str:
+    limit = UINT_TYPES[kind][0]
+    if kind == "uint64" and wide.upper() == "BIGINT":
+        limit = 2**63 - 1
+    return f"{number} BETWEEN 0 AND {limit}"
+
 
-    Fractions, exponents and hex are not integers; padding and a plus sign are fine;
-    negative and too large values are breaches. `wide` is the type for 64-bit values;
-    with ``bigint`` the upper half of the range becomes a breach.
-    """
-    number, fits = _in_range(text, kind, wide)
+def stored_uint(number: str, kind: str, wide: str = WIDE) -> str:
+    """A parsed number in the sink type of `kind`, 0 when it is NULL, negative or too
+    large. `wide` is the type of 64-bit columns; with BIGINT the upper half of their
+    range is too large."""
     sink = wide if kind == "uint64" else UINT_TYPES[kind][1]
-    return F.when(fits, number).otherwise(F.lit(0)).cast(sink)
+    return f"CAST(CASE WHEN {_fits(number, kind, wide)} THEN {number} ELSE 0 END AS {sink})"
 
 
-def uint_breach(text: Column, kind: str, wide: str = "decimal(20,0)") -> Column:
-    _, fits = _in_range(text, kind, wide)
-    return F.when(
-        _present(text) & ~F.coalesce(fits, F.lit(False)),
-        F.when(strip(text).rlike(_INTEGER), "out_of_range").otherwise("not_integer"),
-    )
+def uint_breach(text: str, number: str, kind: str, wide: str = WIDE) -> str:
+    rule = f"CASE WHEN {_matches(text, _INTEGER)} THEN 'out_of_range' ELSE 'not_integer' END"
+    return _unless_absent(text, f"coalesce({_fits(number, kind, wide)}, false)", rule)
 
 
-def to_float(text: Column, sink: str = "float") -> Column:
-    """Decimal or exponent notation, else 0. Not-a-number, the infinities and values
-    beyond the sink type are breaches too."""
-    number = _float(text, sink)
-    return F.when(_finite(number), number).otherwise(F.lit(0.0)).cast(sink)
+def to_uint(text: str, kind: str, wide: str = WIDE) -> str:
+    return stored_uint(whole(text, kind, wide), kind, wide)
 
 
-def _float(text: Column, sink: str) -> Column:
-    return F.when(strip(text).rlike(_NUMBER), strip(text).try_cast(sink))
+def finite(text: str, sink: str = "FLOAT") -> str:
+    """The number in decimal or exponent notation, else NULL; also NULL when it is
+    beyond the sink type. Words such as ``nan`` and ``inf`` are not numbers."""
+    number = f"try_cast({text} AS {sink})"
+    return (
+        f"CASE WHEN {_matches(text, _NUMBER)} AND abs({number}) < CAST('infinity' AS {sink}) "
+        f"THEN {number} END"
+    )
 
 
-def _finite(number: Column) -> Column:
-    return ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
+def to_float(text: str, sink: str = "FLOAT") -> str:
+    return f"coalesce({finite(text, sink)}, CAST(0 AS {sink}))"
 
 
-def float_breach(text: Column, sink: str = "float") -> Column:
-    ok = F.coalesce(_finite(_float(text, sink)), F.lit(False))
-    return F.when(_present(text) & ~ok, "not_number")
+def float_breach(text: str, sink: str = "FLOAT") -> str:
+    return _unless_absent(text, f"{finite(text, sink)} IS NOT NULL", "'not_number'")
 
 
-def to_ipv4(text: Column) -> Column:
+def to_ipv4(text: str) -> str:
     """Dotted quad, else the null address."""
-    return F.when(text.rlike(_IPV4), text).otherwise(F.lit(NO_ADDRESS))
+    return f"CASE WHEN {_matches(text, _IPV4)} THEN {text} ELSE '{NO_ADDRESS}' END"
 
 
-def ipv4_breach(text: Column) -> Column:
-    return F.when(_present(text) & ~text.rlike(_IPV4), "not_ipv4")
+def ipv4_breach(text: str) -> str:
+    return _unless_absent(text, f"coalesce({_matches(text, _IPV4)}, false)", "'not_ipv4'")

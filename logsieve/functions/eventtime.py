@@ -9,8 +9,7 @@ Nothing depends on the session's time zone; text without an offset means UTC.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 _COMPACT_DATE = r"^[0-9]{8}$"
 _EPOCH = r"^(?:[0-9]{10}(?:[.][0-9]+)?|[0-9]{13}|[0-9]{16}|[0-9]{19})$"
@@ -24,112 +23,67 @@ _ISO = (
 # Columns `with_event_time` adds.
 INSTANT, DAY, CLOCK, BREACH = "_instant", "_day", "_clock", "_time_breach"
 
-
-def _rest(text: Column, start: int) -> Column:
-    return text.substr(F.lit(start), F.length(text))
-
-
-def _dashed(text: Column) -> Column:
-    """A compact date with its dashes put in; any other text as it is."""
-    return F.when(
-        text.rlike(_COMPACT_DATE),
-        F.concat_ws("-", text.substr(1, 4), text.substr(5, 2), text.substr(7, 2)),
-    ).otherwise(text)
-
-
-def _clock_of_iso(iso: Column) -> Column:
-    def has(position: int, *marks: str) -> Column:
-        return iso.substr(position, 1).isin(*marks)
-
-    hours, minutes = has(11, "T", " "), has(14, ":")
-    return F.concat_ws(
-        ":",
-        F.when(hours, iso.substr(12, 2)).otherwise("00"),
-        F.when(minutes, iso.substr(15, 2)).otherwise("00"),
-        F.when(minutes & has(17, ":"), iso.substr(18, 2)).otherwise("00"),
-    )
-
-
-def _fraction_of_iso(iso: Column) -> Column:
-    digits = F.regexp_extract(_rest(iso, 20), r"^[.,]([0-9]{1,6})", 1)
-    return F.when(digits != "", F.concat(F.lit("."), digits)).otherwise("")
-
-
-def _offset_of_iso(iso: Column) -> Column:
-    offset = F.regexp_extract(F.when(F.length(iso) > 10, _rest(iso, 11)), _OFFSET, 1)
-    return F.when(offset != "", offset).otherwise("Z")
-
-
-def _epoch_micros(text: Column) -> Column:
-    """Seconds (a fraction is fine), milliseconds, microseconds or nanoseconds since
-    1970, told apart by their number of digits."""
-    digits = F.length(F.substring_index(text, ".", 1))
-    number = text.try_cast("bigint")
-    return F.when(
-        text.rlike(_EPOCH),
-        F.when(digits == 10, (text.try_cast("decimal(20,6)") * 1000000).try_cast("bigint"))
-        .when(digits == 13, number * 1000)
-        .when(digits == 16, number)
-        .otherwise(F.call_function("div", number, F.lit(1000))),
-    )
-
-
-def _clock_of_second(second_of_day: Column) -> Column:
-    def two(value: Column) -> Column:
-        return F.lpad(value.cast("string"), 2, "0")
-
-    return F.concat_ws(
-        ":",
-        two(F.call_function("div", second_of_day, F.lit(3600))),
-        two(F.call_function("div", second_of_day, F.lit(60)) % 60),
-        two(second_of_day % 60),
-    )
-
-
-def with_event_time(df: DataFrame, text: Column) -> DataFrame:
+# A compact date gets its dashes; other text stays as it is.
+_DASHED = f"""CASE WHEN _text RLIKE r'{_COMPACT_DATE}'
+    THEN concat_ws('-', substr(_text, 1, 4), substr(_text, 5, 2), substr(_text, 7, 2))
+    ELSE _text END"""
+
+# Seconds (a fraction is fine), milliseconds, microseconds or nanoseconds since 1970,
+# told apart by their number of digits.
+_MICROS = f"""CASE WHEN _text RLIKE r'{_EPOCH}' THEN
+    CASE length(substring_index(_text, '.', 1))
+        WHEN 10 THEN try_cast(try_cast(_text AS DECIMAL(20,6)) * 1000000 AS BIGINT)
+        WHEN 13 THEN try_cast(_text AS BIGINT) * 1000
+        WHEN 16 THEN try_cast(_text AS BIGINT)
+        ELSE try_cast(_text AS BIGINT) DIV 1000 END END"""
+
+_ISO_CLOCK = """CASE WHEN _iso IS NOT NULL THEN concat_ws(':',
+    CASE WHEN substr(_iso, 11, 1) IN ('T', ' ') THEN substr(_iso, 12, 2) ELSE '00' END,
+    CASE WHEN substr(_iso, 14, 1) = ':' THEN substr(_iso, 15, 2) ELSE '00' END,
+    CASE WHEN substr(_iso, 14, 1) = ':' AND substr(_iso, 17, 1) = ':'
+        THEN substr(_iso, 18, 2) ELSE '00' END) END"""
+
+_INSTANT = """CASE WHEN _micros IS NOT NULL THEN timestamp_micros(_micros) ELSE
+    try_cast(concat(substr(_iso, 1, 10), 'T', _iso_clock,
+        CASE WHEN _fraction <> '' THEN concat('.', _fraction) ELSE '' END,
+        CASE WHEN _offset <> '' THEN _offset ELSE 'Z' END) AS TIMESTAMP) END"""
+
+_EPOCH_DAY = "date_add(DATE'1970-01-01', CAST(_micros DIV 86400000000 AS INT))"
+_EPOCH_CLOCK = """concat_ws(':',
+    lpad(CAST(_micros DIV 3600000000 % 24 AS STRING), 2, '0'),
+    lpad(CAST(_micros DIV 60000000 % 60 AS STRING), 2, '0'),
+    lpad(CAST(_micros DIV 1000000 % 60 AS STRING), 2, '0'))"""
+
+
+def with_event_time(df: DataFrame, text: str) -> DataFrame:
     """Add the instant (to the millisecond), the date and clock as written, and the
-    broken rule of a time that is missing or cannot be read.
+    broken rule of a time that is missing or cannot be read. `text` is SQL text.
 
     Accepts ISO 8601 dates and date-times (extended form, or a compact date), the
     same with a zone name after the offset, and epoch numbers, which are written in
     UTC by nature. The steps are separate projections so that each pattern runs once
-    per row.
+    per row, and end in a generator so that a filter on the date does not repeat them.
     """
-    shaped = df.withColumns({"_time_text": text}).withColumns(
-        {"_iso": _dashed(F.col("_time_text")), "_micros": _epoch_micros(F.col("_time_text"))}
-    )
-    shaped = shaped.withColumn("_iso", F.when(F.col("_iso").rlike(_ISO), F.col("_iso")))
-    iso, micros = F.col("_iso"), F.col("_micros")
-
-    parts = shaped.withColumns(
-        {
-            "_iso_clock": F.when(iso.isNotNull(), _clock_of_iso(iso)),
-            "_iso_zone": F.concat(_fraction_of_iso(iso), _offset_of_iso(iso)),
-            "_second": F.call_function("div", micros, F.lit(1000000)),
-        }
-    )
-    second = F.col("_second")
-    read = parts.withColumn(
-        INSTANT,
-        F.when(micros.isNotNull(), F.timestamp_micros(micros)).otherwise(
-            F.concat(iso.substr(1, 10), F.lit("T"), F.col("_iso_clock"), F.col("_iso_zone"))
-            .try_cast("timestamp")
-        ),
+    return (
+        df.selectExpr("*", f"{text} AS _text")
+        .selectExpr("*", f"{_DASHED} AS _dashed", f"{_MICROS} AS _micros")
+        .selectExpr("*", f"CASE WHEN _dashed RLIKE r'{_ISO}' THEN _dashed END AS _iso")
+        .selectExpr(
+            "*",
+            f"{_ISO_CLOCK} AS _iso_clock",
+            r"regexp_extract(substr(_iso, 20), r'^[.,]([0-9]{1,6})', 1) AS _fraction",
+            f"regexp_extract(substr(_iso, 11), r'{_OFFSET}', 1) AS _offset",
+        )
+        .selectExpr("*", f"{_INSTANT} AS _at")
+        .selectExpr(
+            *[f"`{c}`" for c in df.columns],
+            f"""inline(array(named_struct(
+                '{INSTANT}', date_trunc('MILLISECOND', _at),
+                '{DAY}', CASE WHEN _micros IS NOT NULL THEN {_EPOCH_DAY}
+                    WHEN _at IS NOT NULL THEN try_cast(substr(_iso, 1, 10) AS DATE) END,
+                '{CLOCK}', CASE WHEN _micros IS NOT NULL THEN {_EPOCH_CLOCK}
+                    WHEN _at IS NOT NULL THEN _iso_clock END,
+                '{BREACH}', CASE WHEN _text IS NULL OR _text = '' THEN 'no_time'
+                    WHEN _at IS NULL THEN 'bad_time' END)))""",
+        )
     )
-    epoch_day = F.date_add(F.lit("1970-01-01").cast("date"), F.call_function("div", second, F.lit(86400)).cast("int"))
-    epoch_clock = _clock_of_second(F.pmod(second, F.lit(86400)))
-    text, instant = F.col("_time_text"), F.col(INSTANT)
-    return read.withColumns(
-        {
-            INSTANT: F.date_trunc("MILLISECOND", instant),
-            DAY: F.when(micros.isNotNull(), epoch_day).when(
-                instant.isNotNull(), iso.substr(1, 10).try_cast("date")
-            ),
-            CLOCK: F.when(micros.isNotNull(), epoch_clock).when(
-                instant.isNotNull(), F.col("_iso_clock")
-            ),
-            BREACH: F.when(text.isNull() | (text == ""), "no_time").when(
-                instant.isNull(), "bad_time"
-            ),
-        }
-    ).drop("_time_text", "_iso", "_micros", "_iso_clock", "_iso_zone", "_second")

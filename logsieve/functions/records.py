@@ -9,23 +9,19 @@ from logsieve.functions.text import non_empty
 
 
 def last_wins(entries: Column) -> Column:
-    """Entries (an array of ``(k, v)``) with only the last one of each key.
-
-    Records without a repeated key, nearly all, pass after one hash pass. The others
-    are grouped by sorting on (key, position), so the cost stays n log n even for a
-    record with very many keys.
+    """Entries (an array of ``(k, v)``) with only the last one of each key, for records
+    that repeat a key. Sorting on (key, position) brings repeats together, so the cost
+    stays n log n even for a record with very many keys.
     """
     indexed = F.transform(
         entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"), e["v"].alias("v"))
     )
-    # Walking the sorted entries, the accumulator's last element is replaced while the
-    # key stays the same; comparing neighbours does it without an inner search.
     ordered = F.array_sort(indexed)
     following = F.concat(
         F.slice(ordered, F.lit(2), F.greatest(F.size(ordered) - 1, F.lit(0))),
         F.array(F.lit(None).cast("struct<k:string,i:int,v:string>")),
     )
-    kept = F.filter(
+    return F.filter(
         F.zip_with(
             ordered,
             following,
@@ -35,8 +31,6 @@ def last_wins(entries: Column) -> Column:
         ),
         lambda e: e.isNotNull(),
     )
-    keys = F.transform(entries, lambda e: e["k"])
-    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), kept).otherwise(entries)
 
 
 def _cells(headers: list[str], columns: list[Column]) -> list[tuple[str, Column]]:

@@ -27,16 +27,14 @@ def cef_records(
     src, dst, name and the line itself; `keep` names columns to carry along and
     `extensions` further extension keys to take out."""
     header = F.col("header")
-    found = parsed.filter(F.col("error").isNull()).withColumn(
-        "_ext", cef.extension_entries(header["extensions"])
-    )
+    found = cef.with_extensions(parsed.filter(F.col("error").isNull()), header["extensions"])
     return found.select(
         *keep,
         header["vendor"].alias("device_vendor"),
         header["product"].alias("device_product"),
         header["signature_id"].alias("signature_id"),
         cef.severity(header["severity"]).alias("severity"),
-        *[cef.extension_value(F.col("_ext"), k).alias(k) for k in ("src", "dst", *extensions)],
+        *[cef.extension_value(k).alias(k) for k in ("src", "dst", *extensions)],
         header["name"].alias("name"),
         F.col(line).alias("raw_log"),
     )

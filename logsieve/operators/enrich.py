@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logsieve.functions.text import first_non_empty, lookup_key
-from logsieve.operators.events import event_get
-from logsieve.operators.lookup import lookup_join, tools_by_key
+from logsieve.functions.text import lookup_key
+from logsieve.operators.events import event_sql
+from logsieve.operators.lookup import lookup_join, normalise_tools, tools_by_key
 from logsieve.schema import URL_KEYS
 
 REASONS = ("bad_json", "no_url", "no_match", "not_ai", "kept")
@@ -27,9 +27,11 @@ def with_lookup_key(
 ) -> DataFrame:
     """Add `tool_url` (the first non-empty candidate as written) and `key`. A candidate
     of white space counts as present, and leaves the event without a key."""
-    get = event_get(events, event)
-    url = first_non_empty(*[get(k) for k in url_keys])
-    return events.withColumn("tool_url", url).withColumn("key", lookup_key(F.col("tool_url")))
+    get = event_sql(events, event)
+    url = "coalesce({}, '')".format(", ".join(f"nullif({get(k)}, '')" for k in url_keys))
+    return events.withColumn("tool_url", F.expr(url)).withColumn(
+        "key", lookup_key(F.col("tool_url"))
+    )
 
 
 def _tool_side(lookup: DataFrame, *more: Column) -> DataFrame:
@@ -48,7 +50,8 @@ def enrich(
     """
     lookup = _tool_side(tools_by_key(tools).filter("has_ai"))
     keyed = with_lookup_key(events.filter(F.col("event").isNotNull()), url_keys)
-    return lookup_join(keyed.filter(F.col("key") != ""), lookup).drop("key")
+    # Events without a key go with the join: no tool has an empty one.
+    return lookup_join(keyed, lookup, bound=normalise_tools(tools)).drop("key")
 
 
 def classify(
@@ -57,7 +60,8 @@ def classify(
     """Every event with a `reason`, one of `REASONS`, and the tool columns where a tool
     matched. The events of reason `kept` are those `enrich` returns."""
     lookup = _tool_side(tools_by_key(tools), F.col("has_ai").alias("_has_ai"))
-    joined = lookup_join(with_lookup_key(events, url_keys), lookup, how="left")
+    keyed = with_lookup_key(events, url_keys)
+    joined = lookup_join(keyed, lookup, how="left", bound=normalise_tools(tools))
     reason = (
         F.when(F.col("event").isNull(), "bad_json")
         .when(F.col("key") == "", "no_url")

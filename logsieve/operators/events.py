@@ -22,7 +22,7 @@ def _closed(value: Column) -> Column:
     return F.when(F.contains(value, F.lit("]")), F.size(again) == 1).otherwise(F.lit(True))
 
 
-def _parse(messages: DataFrame, value: str, element: str) -> DataFrame:
+def _parse(messages: DataFrame, value: str, element: str, named: str | None = None) -> DataFrame:
     """Add `event`: the message's object, NULL where the text is no single object.
 
     The text is read as a one-element array, so that trailing text is an error and an
@@ -30,10 +30,10 @@ def _parse(messages: DataFrame, value: str, element: str) -> DataFrame:
     the parse; pushed below it they would parse every message again.
     """
     text = F.col(value)
-    parsed = messages.withColumn(
-        "_parsed",
-        F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{element}>", _STRICT),
-    )
+    array = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{element}>", _STRICT)
+    if named:
+        array = array.cast(f"array<{named}>")
+    parsed = messages.withColumn("_parsed", array)
     whole = F.when((F.size("_parsed") == 1) & _closed(text), F.col("_parsed"))
     return parsed.select(*messages.columns, F.explode_outer(whole).alias("event"))
 
@@ -60,20 +60,21 @@ def parse_events(
     """The keys the enrichment reads, as a struct of strings. Keys nobody reads are
     skipped while parsing, so this is the path for volume."""
     keys = event_keys(extra_keys)
-    element = T.StructType([T.StructField(k, T.StringType()) for k in keys]).simpleString()
+    element = T.StructType([T.StructField(k, T.StringType()) for k in keys])
     named = T.StructType([T.StructField(event_field(k), T.StringType()) for k in keys])
-    # The cast goes by position: it renames twins such as url and URL.
-    return _parse(messages, value, element).withColumn("event", F.col("event").cast(named))
+    # The cast to `named` goes by position: it renames twins such as url and URL.
+    return _parse(messages, value, element.simpleString(), named.simpleString())
 
 
-def event_get(df: DataFrame, column: str = "event"):
-    """Reader of event keys for a map or struct column; NULL for a key it lacks."""
+def event_sql(df: DataFrame, column: str = "event"):
+    """Reader of event keys for a map or struct column, as SQL text; NULL for a key the
+    struct lacks."""
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.MapType):
-        return lambda key: F.col(column)[key]
+        return lambda key: f"{column}['{key}']"
     fields = set(dtype.fieldNames())
     return lambda key: (
-        F.col(column)[event_field(key)]
+        f"{column}.`{event_field(key)}`"
         if event_field(key) in fields
-        else F.lit(None).cast("string")
+        else "CAST(NULL AS STRING)"
     )

@@ -63,9 +63,15 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def lookup_join(
-    events: DataFrame, lookup: DataFrame, key: str = "key", how: str = "inner"
+    events: DataFrame,
+    lookup: DataFrame,
+    key: str = "key",
+    how: str = "inner",
+    bound: DataFrame | None = None,
 ) -> DataFrame:
-    """Join events to a lookup that has at most one row per key; `how` is inner or left.
+    """Join events to a lookup with at most one row per key and no empty key; `how` is
+    inner or left. `bound` is a frame the lookup is a reduction of: cheaper to measure,
+    and small enough if the lookup is made from it.
 
     A lookup within the bounds is broadcast and the events stay where they are. A
     larger one is joined by a shuffle, from which the most frequent keys of the events
@@ -74,9 +80,11 @@ def lookup_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how}")
-    if fits_broadcast(lookup):
+    if (bound is not None and fits_broadcast(bound)) or fits_broadcast(lookup):
         return events.join(F.broadcast(lookup), key, how)
 
+    if how == "inner":
+        events = events.filter(F.col(key) != "")
     hot = hot_keys(events, key)
     if not hot:
         return events.hint("shuffle_merge").join(lookup, key, how)

@@ -2,29 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from logsieve.functions import coerce
 from logsieve.functions.eventtime import BREACH, CLOCK, DAY, INSTANT, with_event_time
-from logsieve.functions.text import first_non_empty
-from logsieve.operators.events import event_get
+from logsieve.operators.events import event_sql
 from logsieve.schema import LOG_COLUMNS, TIME_KEYS, LogColumn
 
 
-def _raw(get, column: LogColumn) -> Column:
-    if column.from_tool:
-        return F.col(column.source).cast("string")
-    return get(column.source)
+class _Sources:
+    """SQL text of each log column's raw text in an enriched frame."""
 
+    def __init__(self, enriched: DataFrame):
+        self._get = event_sql(enriched)
 
-def _timed(enriched: DataFrame) -> DataFrame:
-    get = event_get(enriched)
-    return with_event_time(enriched, first_non_empty(*[get(k) for k in TIME_KEYS]))
+    def raw(self, column: LogColumn) -> str:
+        if column.from_tool:
+            return column.source if column.kind == "text" else f"CAST({column.source} AS STRING)"
+        return self._get(column.source)
+
+    def time_text(self) -> str:
+        return "coalesce({}, '')".format(", ".join(f"nullif({self._get(k)}, '')" for k in TIME_KEYS))
+
+
+def _number_name(column: LogColumn) -> str:
+    return f"_whole_{column.name}"
+
+
+def _parsed(enriched: DataFrame, sources: _Sources, wide: str) -> DataFrame:
+    """The enriched events with their time read and their whole numbers parsed, each in
+    a column of its own, so that the steps after it test plain columns."""
+    numbers = [
+        f"{coerce.whole(sources.raw(c), c.kind, wide)} AS {_number_name(c)}"
+        for c in LOG_COLUMNS
+        if c.kind.startswith("uint")
+    ]
+    return with_event_time(enriched, sources.time_text()).selectExpr("*", *numbers)
 
 
 def log_projection(
-    enriched: DataFrame, fallback: str | None = None, wide: str = "decimal(20,0)"
+    enriched: DataFrame, fallback: str | None = None, wide: str = coerce.WIDE
 ) -> DataFrame:
     """The log table's columns, every value coerced or defaulted.
 
@@ -34,63 +51,64 @@ def log_projection(
     """
     if fallback not in (None, "now"):
         raise ValueError(f"fallback must be None or 'now', not {fallback!r}")
-    get = event_get(enriched)
-    instant, day, clock = F.col(INSTANT), F.col(DAY), F.col(CLOCK)
+    sources = _Sources(enriched)
+    instant, day, clock = INSTANT, DAY, CLOCK
     if fallback:
-        now = F.current_timestamp()
-        instant = F.coalesce(instant, F.date_trunc("MILLISECOND", now))
-        day = F.coalesce(day, F.current_date())
-        clock = F.coalesce(clock, F.date_format(now, "HH:mm:ss"))
+        instant = f"coalesce({INSTANT}, date_trunc('MILLISECOND', current_timestamp()))"
+        day = f"coalesce({DAY}, current_date())"
+        clock = f"coalesce({CLOCK}, date_format(current_timestamp(), 'HH:mm:ss'))"
 
-    def value(column: LogColumn) -> Column:
+    def value(column: LogColumn) -> str:
+        raw = sources.raw(column)
         if column.kind == "instant":
             return instant
         if column.kind == "date":
             return day
         if column.kind == "clock":
-            return F.coalesce(get(column.source), clock)
-        raw = _raw(get, column)
+            return f"coalesce({raw}, {clock})"
         if column.kind == "text":
-            return F.coalesce(raw, F.lit(""))
+            return f"coalesce({raw}, '')"
         if column.kind == "ipv4":
             return coerce.to_ipv4(raw)
         if column.kind == "float":
             return coerce.to_float(raw)
-        return coerce.to_uint(raw, column.kind, wide)
+        return coerce.stored_uint(_number_name(column), column.kind, wide)
 
-    return _timed(enriched).select(*[value(c).alias(c.name) for c in LOG_COLUMNS])
+    parsed = _parsed(enriched, sources, wide)
+    return parsed.selectExpr(*[f"{value(c)} AS `{c.name}`" for c in LOG_COLUMNS])
 
 
 def violations(
-    enriched: DataFrame, log_id: Column | None = None, wide: str = "decimal(20,0)"
+    enriched: DataFrame, log_id: str | None = None, wide: str = coerce.WIDE
 ) -> DataFrame:
     """`(log_id, column, raw, rule)` for every value the projection had to replace."""
-    timed = _timed(enriched)
-    get = event_get(enriched)
+    sources = _Sources(enriched)
 
-    def breach(column: LogColumn) -> tuple[Column, Column] | None:
-        raw = _raw(get, column)
+    def breach(column: LogColumn) -> str | None:
+        raw = sources.raw(column)
         if column.kind == "instant":
-            return first_non_empty(*[get(k) for k in TIME_KEYS]), F.col(BREACH)
+            return BREACH
         if column.kind == "ipv4":
-            return raw, coerce.ipv4_breach(raw)
+            return coerce.ipv4_breach(raw)
         if column.kind == "float":
-            return raw, coerce.float_breach(raw)
+            return coerce.float_breach(raw)
         if column.kind.startswith("uint"):
-            return raw, coerce.uint_breach(raw, column.kind, wide)
+            return coerce.uint_breach(raw, _number_name(column), column.kind, wide)
         return None
 
-    found = [(c.name, breach(c)) for c in LOG_COLUMNS]
-    report = F.array(
-        *[
-            F.struct(F.lit(name).alias("column"), b[0].alias("raw"), b[1].alias("rule"))
-            for name, b in found
-            if b
-        ]
+    checked = [c for c in LOG_COLUMNS if breach(c)]
+    def raw(column: LogColumn) -> str:
+        return sources.time_text() if column.kind == "instant" else sources.raw(column)
+
+    rows = ", ".join(
+        f"named_struct('column', '{c.name}', 'raw', {raw(c)}, 'rule', {breach(c)})"
+        for c in LOG_COLUMNS
+        if breach(c)
     )
-    number = get("logid") if log_id is None else log_id
+    # One row per checked column leaves the generator and most are dropped at once. A
+    # filter before it would be pushed below the parsing and do all of it twice.
     return (
-        timed.select(number.alias("log_id"), F.explode(report).alias("v"))
-        .filter(F.col("v.rule").isNotNull())
-        .select("log_id", "v.column", "v.raw", "v.rule")
+        _parsed(enriched, sources, wide)
+        .selectExpr(f"{log_id or sources.raw(LOG_COLUMNS[0])} AS log_id", f"inline(array({rows}))")
+        .filter("rule IS NOT NULL")
     )

@@ -57,15 +57,14 @@ def _long(column: str) -> Column:
 def _portable(logs: DataFrame) -> DataFrame:
     """The log table's columns as whole numbers, doubles and text."""
 
-    def plain(name: str, kind: str) -> Column:
-        column = F.col(name)
+    def plain(name: str, kind: str) -> str:
         if kind == "instant":
-            return _stamp(column)
+            return f"date_format({name}, 'yyyy-MM-dd HH:mm:ss.SSS')"
         if kind == "float":
-            return column.cast("double")
-        return column.cast("bigint" if kind.startswith("uint") else "string")
+            return f"CAST({name} AS DOUBLE)"
+        return f"CAST(`{name}` AS {'BIGINT' if kind.startswith('uint') else 'STRING'})"
 
-    return logs.select(*[plain(c.name, c.kind).alias(c.name) for c in LOG_COLUMNS])
+    return logs.selectExpr(*[f"{plain(c.name, c.kind)} AS `{c.name}`" for c in LOG_COLUMNS])
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,25 +158,25 @@ def to_uint(spark, sf_dir):
     widths = ("uint8", "uint16", "uint32", "uint64")
     return numbers.select(
         "event_id",
-        *[coerce.to_uint(F.col("raw"), w).cast("bigint").alias(f"as_{w}") for w in widths],
+        *[F.expr(coerce.to_uint("raw", w)).cast("bigint").alias(f"as_{w}") for w in widths],
     )
 
 
 @query
 def to_float(spark, sf_dir):
     numbers = inputs.table(spark, sf_dir, "events").select("event_id", inputs.number_text().alias("raw"))
-    return numbers.select("event_id", coerce.to_float(F.col("raw"), "double").alias("value"))
+    return numbers.select("event_id", F.expr(coerce.to_float("raw", "double")).alias("value"))
 
 
 @query
 def to_ipv4(spark, sf_dir):
     addresses = inputs.table(spark, sf_dir, "events").select("event_id", inputs.ip_text().alias("raw"))
-    return addresses.select("event_id", coerce.to_ipv4(F.col("raw")).alias("value"))
+    return addresses.select("event_id", F.expr(coerce.to_ipv4("raw")).alias("value"))
 
 
 def _timed(spark, sf_dir):
     events = inputs.table(spark, sf_dir, "events").select("event_id", inputs.time_text().alias("raw"))
-    return with_event_time(events, F.col("raw"))
+    return with_event_time(events, "raw")
 
 
 @query
@@ -214,9 +213,8 @@ def cef_severity(spark, sf_dir):
 @query
 def cef_extensions(spark, sf_dir):
     good = _cef(spark, sf_dir).filter(F.col("error").isNull())
-    return good.select(
-        "event_id", F.explode(cef.extension_map(F.col("header.extensions"))).alias("k", "v")
-    )
+    maps = cef.with_extension_map(good, F.col("header.extensions"), "extensions")
+    return maps.select("event_id", F.explode("extensions").alias("k", "v"))
 
 
 @query
