@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logsieve.functions.records import last_wins
+from logsieve.functions.once import with_once
+from logsieve.functions.records import with_map
 
 HEADER_FIELDS = ("vendor", "product", "version", "signature_id", "name", "severity")
 
@@ -24,21 +25,31 @@ _KEY = r"(?:^|\s)([A-Za-z0-9_.\[\]]++)="
 _SPACES = " \t\n\x0b\x0c\r"
 
 
+def _replaced(text: Column, *pairs: tuple[str, str]) -> Column:
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def _unescape_header(field: Column) -> Column:
-    return F.when(
-        F.contains(field, F.lit("\\")), F.regexp_replace(field, r"\\([|\\])", "$1")
-    ).otherwise(field)
+    """Every bar inside a field is an escaped one, so bars go first and what is left in
+    pairs is escaped backslashes."""
+    return _replaced(field, ("\\|", "|"), ("\\\\", "\\"))
 
 
 def _unescape_value(value: Column) -> Column:
     """``\\n`` and ``\\r`` become line breaks unless their backslash is itself escaped;
-    then an escaped ``=``, ``|`` or backslash loses its backslash. Other backslashes stay."""
-    breaks = value
+    an escaped ``=``, ``|`` or backslash loses its backslash. Other backslashes stay.
+
+    Whether the backslashes before ``=`` or ``|`` are odd or even in number, dropping
+    one and then halving the rest leaves the right number; before a letter that must
+    become a line break it does not, hence the pattern."""
+    broken = value
     for letter, mark in (("n", "\n"), ("r", "\r")):
-        breaks = F.regexp_replace(breaks, rf"(?<!\\)((?:\\\\)*+)\\{letter}", f"$1{mark}")
-    return F.when(
-        F.contains(value, F.lit("\\")), F.regexp_replace(breaks, r"\\([=|\\])", "$1")
-    ).otherwise(value)
+        broken = F.regexp_replace(broken, rf"(?<!\\)((?:\\\\)*+)\\{letter}", f"$1{mark}")
+    breaks = F.contains(value, F.lit("\\n")) | F.contains(value, F.lit("\\r"))
+    broken = F.when(breaks, broken).otherwise(value)
+    return _replaced(broken, ("\\=", "="), ("\\|", "|"), ("\\\\", "\\"))
 
 
 def with_header(df: DataFrame, line: str) -> DataFrame:
@@ -46,8 +57,6 @@ def with_header(df: DataFrame, line: str) -> DataFrame:
     where the line is not CEF or has too few header fields.
 
     One pattern pass cuts the line; what follows the six fields is taken by its position.
-    The struct passes through a generator so that filters on it are applied to the
-    parsed value and do not repeat the parse.
     """
     fields, n = F.col("_fields"), len(HEADER_FIELDS)
     before = F.expr(
@@ -58,9 +67,7 @@ def with_header(df: DataFrame, line: str) -> DataFrame:
         F.col(line).substr(before + 3, F.length(line)).alias("extensions"),
     )
     cut = df.withColumn("_fields", F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1)))
-    return cut.select(
-        *df.columns, F.explode(F.array(F.when(F.size(fields) > n, header))).alias("header")
-    )
+    return with_once(cut, "header", F.when(F.size(fields) > n, header)).drop("_fields")
 
 
 def with_extensions(df: DataFrame, extensions: Column) -> DataFrame:
@@ -79,25 +86,28 @@ def _clean(value: Column) -> Column:
     return _unescape_value(F.rtrim(value, F.lit(_SPACES)))
 
 
-def extension_value(key: str) -> Column:
-    """The last value of one key after `with_extensions`, or the empty string."""
-    behind = F.array_position(F.reverse("_keys"), key)
-    value = F.get("_values", (F.size("_keys") - behind + 1).cast("int"))
-    return F.coalesce(F.when(behind > 0, _clean(value)), F.lit(""))
+def extension_values(keys: tuple[str, ...]) -> Column:
+    """After `with_extensions`, the last value of each of the keys, as an array; the
+    empty string for a key the record lacks."""
+
+    def escaped(key: str) -> Column:
+        behind = F.array_position(F.reverse("_keys"), key)
+        return F.when(behind > 0, F.get("_values", (F.size("_keys") - behind + 1).cast("int")))
+
+    # Cleaning the few values as an array keeps its code out of the fused loop, which
+    # would otherwise grow too large to be compiled.
+    return F.transform(
+        F.array(*[escaped(k) for k in keys]), lambda v: F.coalesce(_clean(v), F.lit(""))
+    )
 
 
 def with_extension_map(df: DataFrame, extensions: Column, name: str) -> DataFrame:
     """Add all extensions as a map; the last one of a repeated key wins."""
-    entries = F.zip_with(
-        "_keys",
-        F.slice("_values", F.lit(2), F.size("_keys")),
-        lambda k, v: F.struct(k.alias("k"), _clean(v).alias("v")),
+    found = with_extensions(df, extensions)
+    cleaned = F.transform(F.slice("_values", F.lit(2), F.size("_keys")), _clean)
+    return with_map(found.withColumn("_cleaned", cleaned), "_keys", "_cleaned", name).select(
+        *df.columns, name
     )
-    found = with_extensions(df, extensions).withColumn("_entries", entries)
-    unique = F.when(
-        F.size(F.array_distinct("_keys")) < F.size("_keys"), last_wins(F.col("_entries"))
-    ).otherwise(F.col("_entries"))
-    return found.select(*df.columns, F.map_from_entries(unique).alias(name))
 
 
 def severity(text: Column) -> Column:

@@ -70,18 +70,23 @@ def finite(text: str, sink: str = "FLOAT") -> str:
     """The number in decimal or exponent notation, else NULL; also NULL when it is
     beyond the sink type. Words such as ``nan`` and ``inf`` are not numbers."""
     number = f"try_cast({text} AS {sink})"
-    return (
-        f"CASE WHEN {_matches(text, _NUMBER)} AND abs({number}) < CAST('infinity' AS {sink}) "
-        f"THEN {number} END"
-    )
+    return f"CASE WHEN {_matches(text, _NUMBER)} THEN {only_finite(number, sink)} END"
+
+
+def only_finite(number: str, sink: str = "FLOAT") -> str:
+    return f"CASE WHEN abs({number}) < CAST('infinity' AS {sink}) THEN {number} END"
+
+
+def or_zero(number: str, sink: str = "FLOAT") -> str:
+    return f"coalesce({number}, CAST(0 AS {sink}))"
 
 
 def to_float(text: str, sink: str = "FLOAT") -> str:
-    return f"coalesce({finite(text, sink)}, CAST(0 AS {sink}))"
+    return or_zero(finite(text, sink), sink)
 
 
-def float_breach(text: str, sink: str = "FLOAT") -> str:
-    return _unless_absent(text, f"{finite(text, sink)} IS NOT NULL", "'not_number'")
+def float_breach(text: str, number: str) -> str:
+    return _unless_absent(text, f"{number} IS NOT NULL", "'not_number'")
 
 
 def to_ipv4(text: str) -> str:

@@ -2,34 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logsieve.functions.once import with_once
 from logsieve.functions.text import non_empty
 
 
-def last_wins(entries: Column) -> Column:
-    """Entries (an array of ``(k, v)``) with only the last one of each key, for records
-    that repeat a key. Sorting on (key, position) brings repeats together, so the cost
-    stays n log n even for a record with very many keys.
+def with_map(df: DataFrame, keys: str, values: str, name: str) -> DataFrame:
+    """Add a map of two array columns of equal length; the last of a repeated key wins.
+
+    Only records that repeat a key pay for more than building the map. In those, sorting
+    on (key, position) brings the repeats together and each entry followed by its own
+    key is dropped, so a record with very many keys costs n log n and not n squared.
     """
-    indexed = F.transform(
-        entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"), e["v"].alias("v"))
+    ordered = F.sort_array(
+        F.arrays_zip(
+            F.col(keys).alias("k"),
+            F.sequence(F.lit(1), F.size(keys)).alias("i"),
+            F.col(values).alias("v"),
+        )
     )
-    ordered = F.array_sort(indexed)
+    repeats = F.size(F.array_distinct(keys)) < F.size(keys)
     following = F.concat(
-        F.slice(ordered, F.lit(2), F.greatest(F.size(ordered) - 1, F.lit(0))),
-        F.array(F.lit(None).cast("struct<k:string,i:int,v:string>")),
+        F.slice("_ordered", F.lit(2), F.size("_ordered") - 1),
+        F.slice("_ordered", F.lit(1), F.lit(1)),
+    )
+    # The entry wrapped round to the end has the first key, the last entry the last one:
+    # they are the same only if there is just one key, whose last entry has to stay.
+    last = F.zip_with(
+        "_ordered",
+        following,
+        lambda e, n: F.when((e["k"] != n["k"]) | (e["i"] >= n["i"]), F.struct(e["k"], e["v"])),
     )
-    return F.filter(
-        F.zip_with(
-            ordered,
-            following,
-            lambda e, n: F.when(
-                n.isNull() | (n["k"] != e["k"]), F.struct(e["k"].alias("k"), e["v"].alias("v"))
-            ),
-        ),
-        lambda e: e.isNotNull(),
+    unique = F.when(
+        F.col("_ordered").isNotNull(),
+        F.map_from_entries(F.filter(last, lambda e: e.isNotNull())),
+    ).otherwise(F.map_from_arrays(keys, values))
+    return with_once(df.withColumn("_ordered", F.when(repeats, ordered)), name, unique).drop(
+        "_ordered"
     )
 
 

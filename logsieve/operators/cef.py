@@ -27,14 +27,17 @@ def cef_records(
     src, dst, name and the line itself; `keep` names columns to carry along and
     `extensions` further extension keys to take out."""
     header = F.col("header")
-    found = cef.with_extensions(parsed.filter(F.col("error").isNull()), header["extensions"])
+    wanted = ("src", "dst", *extensions)
+    found = cef.with_extensions(
+        parsed.filter(F.col("error").isNull()), header["extensions"]
+    ).withColumn("_wanted", cef.extension_values(wanted))
     return found.select(
         *keep,
         header["vendor"].alias("device_vendor"),
         header["product"].alias("device_product"),
         header["signature_id"].alias("signature_id"),
         cef.severity(header["severity"]).alias("severity"),
-        *[cef.extension_value(k).alias(k) for k in ("src", "dst", *extensions)],
+        *[F.get("_wanted", F.lit(i)).alias(k) for i, k in enumerate(wanted)],
         header["name"].alias("name"),
         F.col(line).alias("raw_log"),
     )

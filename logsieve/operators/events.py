@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsieve.functions.records import last_wins
+from logsieve.functions.records import with_map
 from logsieve.schema import event_field, event_keys
 
 # Only double quotes make a JSON string; the reader's default is more lenient.
@@ -42,16 +42,8 @@ def parse_json_map(messages: DataFrame, value: str = "value") -> DataFrame:
     """Every key of the message as ``map<string,string>``; nested values stay JSON
     text; the last of a repeated key wins."""
     parsed = _parse(messages, value, "map<string,string>")
-    entries = F.transform(
-        F.map_entries("event"), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"))
-    )
-    # Looking at the entries again is only worth it where a key repeats.
-    keys = F.map_keys("event")
-    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
-    return parsed.withColumn(
-        "event",
-        F.when(repeated, F.map_from_entries(last_wins(entries))).otherwise(F.col("event")),
-    )
+    arrays = parsed.withColumns({"_keys": F.map_keys("event"), "_values": F.map_values("event")})
+    return with_map(arrays, "_keys", "_values", "event").select(*messages.columns, "event")
 
 
 def parse_events(

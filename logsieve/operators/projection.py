@@ -21,6 +21,15 @@ class _Sources:
             return column.source if column.kind == "text" else f"CAST({column.source} AS STRING)"
         return self._get(column.source)
 
+    def whole(self, column: LogColumn, wide: str) -> str:
+        if column.from_tool:
+            return f"CAST({column.source} AS BIGINT)"
+        return coerce.whole(self.raw(column), column.kind, wide)
+
+    def finite(self, column: LogColumn) -> str:
+        """Only the tool columns hold a fraction, and they are numbers already."""
+        return coerce.only_finite(f"CAST({column.source} AS FLOAT)")
+
     def time_text(self) -> str:
         return "coalesce({}, '')".format(", ".join(f"nullif({self._get(k)}, '')" for k in TIME_KEYS))
 
@@ -33,7 +42,7 @@ def _parsed(enriched: DataFrame, sources: _Sources, wide: str) -> DataFrame:
     """The enriched events with their time read and their whole numbers parsed, each in
     a column of its own, so that the steps after it test plain columns."""
     numbers = [
-        f"{coerce.whole(sources.raw(c), c.kind, wide)} AS {_number_name(c)}"
+        f"{sources.whole(c, wide)} AS {_number_name(c)}"
         for c in LOG_COLUMNS
         if c.kind.startswith("uint")
     ]
@@ -71,7 +80,7 @@ def log_projection(
         if column.kind == "ipv4":
             return coerce.to_ipv4(raw)
         if column.kind == "float":
-            return coerce.to_float(raw)
+            return coerce.or_zero(sources.finite(column))
         return coerce.stored_uint(_number_name(column), column.kind, wide)
 
     parsed = _parsed(enriched, sources, wide)
@@ -91,7 +100,7 @@ def violations(
         if column.kind == "ipv4":
             return coerce.ipv4_breach(raw)
         if column.kind == "float":
-            return coerce.float_breach(raw)
+            return coerce.float_breach(raw, sources.finite(column))
         if column.kind.startswith("uint"):
             return coerce.uint_breach(raw, _number_name(column), column.kind, wide)
         return None
@@ -105,10 +114,14 @@ def violations(
         for c in LOG_COLUMNS
         if breach(c)
     )
-    # One row per checked column leaves the generator and most are dropped at once. A
-    # filter before it would be pushed below the parsing and do all of it twice.
+    # The outer generator keeps the test for an empty report above the report itself;
+    # as a filter below, it would work out every rule twice.
     return (
         _parsed(enriched, sources, wide)
-        .selectExpr(f"{log_id or sources.raw(LOG_COLUMNS[0])} AS log_id", f"inline(array({rows}))")
+        .selectExpr(
+            f"{log_id or sources.raw(LOG_COLUMNS[0])} AS log_id",
+            f"filter(array({rows}), v -> v.rule IS NOT NULL) AS _found",
+        )
+        .selectExpr("log_id", "inline_outer(_found)")
         .filter("rule IS NOT NULL")
     )
