@@ -137,15 +137,12 @@ def good_rows(rows: Rows) -> Rows:
 
 def bad_rows(rows: Rows) -> DataFrame:
     """The text of rows that do not fit the header, as `value`."""
-    if CORRUPT not in rows.df.columns:
+    if CORRUPT not in rows.df.columns or not rows.columns:
         return rows.df.select(F.lit(None).cast("string").alias("value")).filter(F.lit(False))
-    # The reader wants a data column in the query besides the corrupt one.
-    width = F.coalesce(*rows.cells(), F.lit("")) if rows.columns else F.lit("")
-    return (
-        rows.df.select(F.col(CORRUPT).alias("value"), width.alias("_any"))
-        .filter(F.col("value").isNotNull())
-        .select("value")
-    )
+    bad = rows.df.filter(F.col(CORRUPT).isNotNull())
+    # The reader refuses to give this column alone, so an empty piece of another joins it.
+    nothing = F.coalesce(F.substring(rows.cells()[0], 1, 0), F.lit(""))
+    return bad.select(F.concat(F.col(CORRUPT), nothing).alias("value"))
 
 
 def records(rows: Rows, name: str = "event") -> DataFrame:
