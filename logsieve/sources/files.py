@@ -111,7 +111,13 @@ def read_csv(
             columnNameOfCorruptRecord=CORRUPT,
         )
     )
-    return Rows(df, headers, names)
+    rows = Rows(df, headers, names)
+    if not names:
+        return rows
+    # Only a reader that is asked for every column notices rows of the wrong width. This
+    # condition always holds, names every column and costs no more than a look at one.
+    any_cell = F.coalesce(*rows.cells(), F.lit(""))
+    return Rows(df.filter(any_cell >= F.lit("")), headers, names)
 
 
 def read_parquet(spark: SparkSession, path: str) -> Rows:
@@ -139,10 +145,7 @@ def bad_rows(rows: Rows) -> DataFrame:
     """The text of rows that do not fit the header, as `value`."""
     if CORRUPT not in rows.df.columns or not rows.columns:
         return rows.df.select(F.lit(None).cast("string").alias("value")).filter(F.lit(False))
-    bad = rows.df.filter(F.col(CORRUPT).isNotNull())
-    # The reader refuses to give this column alone, so an empty piece of another joins it.
-    nothing = F.coalesce(F.substring(rows.cells()[0], 1, 0), F.lit(""))
-    return bad.select(F.concat(F.col(CORRUPT), nothing).alias("value"))
+    return rows.df.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
 
 
 def records(rows: Rows, name: str = "event") -> DataFrame:

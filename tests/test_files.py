@@ -16,7 +16,7 @@ from logsieve.sinks.deadletters import read_dead_letters
 from logsieve.sinks.messages import publish, text_writer
 from logsieve.sinks.tables import write_converted
 from logsieve.sources import lines as line_source
-from logsieve.sources.files import bad_rows, messages, read_csv, read_logs, records, route
+from logsieve.sources.files import bad_rows, good_rows, messages, read_csv, read_logs, records, route
 
 EDGES = 'Dst Name,url,n\nx.com,u1,007\nshort,u2\nlong,u3,1,extra\n"a ""q"" b",,1.50\n\n  lead, u5 ,3\nbad"q,u6,2\n'
 TWINS = "a,b,a,url,URL,x.y\n1,2,3,u,U,z\n4,5,,u2,,\nshort\n"
@@ -91,7 +91,10 @@ def test_csv_edges(spark, tmp_path):
         {"Dst Name": 'bad"q', "url": "u6", "n": "2"},
     ]
     assert [r.value for r in bad_rows(rows).collect()] == ["short,u2", "long,u3,1,extra"]
-    assert (records(rows).count(), bad_rows(rows).count()) == (4, 2)
+    assert (records(rows).count(), bad_rows(rows).count(), rows.df.count()) == (4, 2, 6)
+    # Asking for one column must not change which rows are good.
+    assert [r.url for r in good_rows(rows).df.select("url").collect()] == ["u1", None, " u5 ", "u6"]
+    assert good_rows(rows).df.count() == 4
     lenient = records(read_csv(spark, str(tmp_path / "a.csv"), lenient=True)).collect()
     assert lenient[2].event == {"Dst Name": "lead", "url": "u5 ", "n": "3"}
 
