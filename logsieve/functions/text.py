@@ -12,6 +12,9 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The words that mean yes.
+YES = ("true", "1", "t", "yes", "y")
+
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends (`trim` alone only drops spaces)."""
@@ -42,8 +45,7 @@ def is_true(flag: Column, dtype: str = "string") -> Column:
     """Whether a flag marks an AI tool. Text must spell one of five words; a number
     must not be zero; NULL is false."""
     if dtype == "string":
-        # The words that mean yes.
-        truth = lookup_key(flag).isin("true", "1", "t", "yes", "y")
+        truth = lookup_key(flag).isin(*YES)
     elif dtype == "boolean":
         truth = flag
     else:

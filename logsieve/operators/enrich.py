@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logsieve.functions.text import lookup_key
@@ -22,6 +22,10 @@ _TOOL_COLUMNS = {
 }
 
 
+_REASON = """CASE WHEN event IS NULL THEN 'bad_json' WHEN key = '' THEN 'no_url'
+    WHEN _has_ai IS NULL THEN 'no_match' WHEN NOT _has_ai THEN 'not_ai' ELSE 'kept' END"""
+
+
 def with_lookup_key(
     events: DataFrame, url_keys: tuple[str, ...] = URL_KEYS, event: str = "event"
 ) -> DataFrame:
@@ -34,9 +38,9 @@ def with_lookup_key(
     )
 
 
-def _tool_side(lookup: DataFrame, *more: Column) -> DataFrame:
-    return lookup.select(
-        "key", *[F.col(source).alias(name) for name, source in _TOOL_COLUMNS.items()], *more
+def _tool_side(lookup: DataFrame, *more: str) -> DataFrame:
+    return lookup.selectExpr(
+        "key", *[f"{source} AS {name}" for name, source in _TOOL_COLUMNS.items()], *more
     )
 
 
@@ -59,17 +63,10 @@ def classify(
 ) -> DataFrame:
     """Every event with a `reason`, one of `REASONS`, and the tool columns where a tool
     matched. The events of reason `kept` are those `enrich` returns."""
-    lookup = _tool_side(tools_by_key(tools), F.col("has_ai").alias("_has_ai"))
+    lookup = _tool_side(tools_by_key(tools), "has_ai AS _has_ai")
     keyed = with_lookup_key(events, url_keys)
     joined = lookup_join(keyed, lookup, how="left", bound=normalise_tools(tools))
-    reason = (
-        F.when(F.col("event").isNull(), "bad_json")
-        .when(F.col("key") == "", "no_url")
-        .when(F.col("_has_ai").isNull(), "no_match")
-        .when(~F.col("_has_ai"), "not_ai")
-        .otherwise("kept")
-    )
-    return joined.withColumn("reason", reason).drop("key", "_has_ai")
+    return joined.withColumn("reason", F.expr(_REASON)).drop("key", "_has_ai")
 
 
 def drop_audit(classified: DataFrame) -> DataFrame:

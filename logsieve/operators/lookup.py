@@ -23,28 +23,37 @@ def normalise_tools(tools: DataFrame) -> DataFrame:
     """Add `key` (the url, lower case and stripped) and drop rows without one; `has_ai`
     becomes a boolean and an absent score 0. Columns a source lacks come out NULL."""
     have = dict(tools.dtypes)
-    columns = {c: F.col(c) if c in have else F.lit(None) for c in TOOL_COLUMNS}
-    return tools.select(
-        lookup_key(columns["url"].cast("string")).alias("key"),
-        columns["id"].cast("bigint").alias("id"),
-        columns["name"].cast("string").alias("name"),
-        columns["url"].cast("string").alias("url"),
-        is_true(columns["has_ai"], have.get("has_ai", "string")).alias("has_ai"),
-        columns["ai_category"].cast("string").alias("ai_category"),
-        F.coalesce(columns["score"].try_cast("double"), F.lit(0.0)).alias("score"),
-        columns["risk"].cast("string").alias("risk"),
-        columns["updated_at"].cast("timestamp").alias("updated_at"),
-    ).filter(F.col("key") != "")
+
+    def column(name: str, kind: str) -> str:
+        return f"try_cast({name if name in have else 'NULL'} AS {kind}) AS {name}"
+
+    flag = F.col("has_ai") if "has_ai" in have else F.lit(None).cast("string")
+    keyed = tools.withColumns(
+        {
+            "key": lookup_key(F.col("url").cast("string")),
+            "has_ai": is_true(flag, have.get("has_ai", "string")),
+        }
+    )
+    return keyed.selectExpr(
+        "key",
+        column("id", "BIGINT"),
+        column("name", "STRING"),
+        column("url", "STRING"),
+        "has_ai",
+        column("ai_category", "STRING"),
+        f"coalesce({column('score', 'DOUBLE').removesuffix(' AS score')}, 0D) AS score",
+        column("risk", "STRING"),
+        column("updated_at", "TIMESTAMP"),
+    ).filter("key <> ''")
 
 
 def latest_per(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the greatest by the `order` columns, NULLs first. An aggregate,
     so each task reduces its rows before the shuffle and a key with very many versions
     costs no more than any other."""
-    rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*order, *[c for c in rest if c not in order])
-    best = df.groupBy(*keys).agg(F.max(rank).alias("_best"))
-    return best.select(*[F.col(c) if c in keys else F.col("_best")[c].alias(c) for c in df.columns])
+    rank = ", ".join([*order, *(c for c in df.columns if c not in [*keys, *order])])
+    best = df.groupBy(*keys).agg(F.expr(f"max(struct({rank}))").alias("_best"))
+    return best.selectExpr(*[c if c in keys else f"_best.{c} AS {c}" for c in df.columns])
 
 
 def tools_by_key(tools: DataFrame) -> DataFrame:
@@ -54,11 +63,9 @@ def tools_by_key(tools: DataFrame) -> DataFrame:
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Measure a dimension against the broadcast bounds: one aggregate over it."""
-    width = F.lit(16 * len(df.columns))
-    for name, dtype in df.dtypes:
-        if dtype == "string":
-            width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    texts = [f"coalesce(octet_length({name}), 0)" for name, kind in df.dtypes if kind == "string"]
+    width = " + ".join([str(16 * len(df.columns)), *texts])
+    rows, size = df.selectExpr("count(1)", f"coalesce(sum({width}), 0)").first()
     return rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
 
 

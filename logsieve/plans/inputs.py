@@ -10,12 +10,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsieve.sources.files import Rows, as_text
+from logsieve.sources.spread import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, over all cores: what is made of them takes long to parse."""
+    return spread(table(spark, sf_dir, "events"))
+
+
 def _pick(selector: Column, *choices: Column) -> Column:
     """The choice whose position equals the selector."""
     picked = F.when(selector == 0, choices[0])
@@ -33,35 +39,33 @@ def log_messages(spark: SparkSession, sf_dir: str, broken_every: int | None = No
     every 7th message names none in `dstname`, every 14th of all names one in `url`
     instead. Numbers leave the range of narrow columns now and then. With `broken_every`
     each such message is cut short."""
-    i, user = F.col("event_id"), F.col("user_id")
-    host = _host(user % 50)
-    dstname = F.when(i % 7 == 0, "").when(
-        i % 2 == 0, F.concat(F.lit("  "), F.upper(host), F.lit(" "))
-    ).otherwise(host)
-    octets = F.concat_ws(".", F.lit("10.0"), (user % 256).cast("string"), (i % 300).cast("string"))
-    stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
-    message = F.to_json(
-        F.struct(
-            i.cast("string").alias("logid"),
-            stamp.alias("eventtime"),
-            F.when(i % 10 == 3, "12:34:56").alias("time"),
-            dstname.alias("dstname"),
-            F.when(i % 14 == 0, _host(user % 25)).otherwise("").alias("url"),
-            F.concat(F.lit("s-"), user.cast("string")).alias("sessionid"),
-            (user * 3).cast("string").alias("duration"),
-            octets.alias("srcip"),
-            (i * 7 % 70000).cast("string").alias("srcport"),
-            (i % 300).cast("string").alias("proto"),
-            F.col("event_type").alias("action"),
-            F.col("props").alias("app"),
-            F.floor(F.col("value") * 100).cast("string").alias("sentbyte"),
-        )
+    host = "concat('tool', user_id % 50, '.example.com')"
+    fields = {
+        "logid": "string(event_id)",
+        "eventtime": r"""date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")""",
+        "time": "CASE WHEN event_id % 10 = 3 THEN '12:34:56' END",
+        "dstname": f"""CASE WHEN event_id % 7 = 0 THEN ''
+            WHEN event_id % 2 = 0 THEN concat('  ', upper({host}), ' ') ELSE {host} END""",
+        "url": """CASE WHEN event_id % 14 = 0 THEN concat('tool', user_id % 25, '.example.com')
+            ELSE '' END""",
+        "sessionid": "concat('s-', user_id)",
+        "duration": "string(user_id * 3)",
+        "srcip": "concat_ws('.', '10.0', string(user_id % 256), string(event_id % 300))",
+        "srcport": "string(event_id * 7 % 70000)",
+        "proto": "string(event_id % 300)",
+        "action": "event_type",
+        "app": "props",
+        "sentbyte": "string(floor(value * 100))",
+    }
+    i = F.col("event_id")
+    message = F.expr(
+        "to_json(named_struct({}))".format(", ".join(f"'{k}', {v}" for k, v in fields.items()))
     )
     if broken_every:
         message = F.when(
             i % broken_every == 0, message.substr(F.lit(1), F.length(message) - 1)
         ).otherwise(message)
-    return table(spark, sf_dir, "events").select("event_id", message.alias("value"))
+    return _events(spark, sf_dir).select("event_id", message.alias("value"))
 
 
 def keyed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +83,7 @@ def keyed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct(F.lit(" \t ").alias("dstname"), host.alias("url"))),
         F.concat(F.lit('{"dstname":null,"url":" '), host, F.lit('\\t"}')),
     )
-    return table(spark, sf_dir, "events").select("event_id", pairs.alias("value"))
+    return _events(spark, sf_dir).select("event_id", pairs.alias("value"))
 
 
 def tools(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +197,7 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             number_text().alias("dstport"),
         )
     )
-    return table(spark, sf_dir, "events").select("event_id", message.alias("value"))
+    return _events(spark, sf_dir).select("event_id", message.alias("value"))
 
 
 def cef_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +224,7 @@ def cef_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("&c=d "),
     )
     line = F.when(i % 17 == 0, F.concat(F.lit("bad "), line)).otherwise(line)
-    return table(spark, sf_dir, "events").select("event_id", line.alias("value"))
+    return _events(spark, sf_dir).select("event_id", line.alias("value"))
 
 
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
