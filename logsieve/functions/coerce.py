@@ -2,8 +2,7 @@
 
 The functions take and give SQL text, to be used with `selectExpr` or `expr`; `text` is
 an expression of type string. An absent or empty value is not a breach, it just takes
-the default. The integer functions take the parsed `whole` number where it is already a
-column, so that a wide projection parses each value once.
+the default.
 """
 
 from __future__ import annotations

@@ -24,6 +24,7 @@ from logsieve.sinks.tables import sync_tools
 from logsieve.sources.files import Rows, bad_rows, messages, read_logs, route
 from logsieve.sources.kafka import TopicOptions, read_topic, topic_writer
 from logsieve.sources.lines import block_offsets, with_line_numbers
+from logsieve.sources.spread import spread
 from logsieve.sources.tools import tools_loader
 from logsieve.streaming.enrichment import Outputs, start_enrichment
 
@@ -78,6 +79,7 @@ def _ingest_cef(
 
 
 def _ingest_rows(rows: Rows, write: Writer, dead_letters: str) -> Ingested:
+    rows = Rows(spread(rows.df), rows.headers, rows.columns)
     sent = publish(messages(rows), write, dead_letters)
     malformed = bad_rows(rows).select(
         F.lit(MALFORMED_ROW).alias("error"),

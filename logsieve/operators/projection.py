@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from logsieve.functions import coerce
 from logsieve.functions.eventtime import BREACH, CLOCK, DAY, INSTANT, with_event_time
 from logsieve.operators.events import event_sql
-from logsieve.schema import LOG_COLUMNS, TIME_KEYS, LogColumn
+from logsieve.schema import LOG_COLUMNS, TIME_KEYS, UINT_TYPES, LogColumn
 
 
 class _Sources:
@@ -21,7 +21,7 @@ class _Sources:
             return column.source if column.kind == "text" else f"CAST({column.source} AS STRING)"
         return self._get(column.source)
 
-    def whole(self, column: LogColumn, wide: str) -> str:
+    def whole(self, column: LogColumn, wide: str = coerce.WIDE) -> str:
         if column.from_tool:
             return f"CAST({column.source} AS BIGINT)"
         return coerce.whole(self.raw(column), column.kind, wide)
@@ -34,19 +34,20 @@ class _Sources:
         return "coalesce({}, '')".format(", ".join(f"nullif({self._get(k)}, '')" for k in TIME_KEYS))
 
 
-def _number_name(column: LogColumn) -> str:
-    return f"_whole_{column.name}"
+def _unsigned(kind: str) -> list[LogColumn]:
+    return [c for c in LOG_COLUMNS if c.kind == kind and not c.from_tool]
 
 
-def _parsed(enriched: DataFrame, sources: _Sources, wide: str) -> DataFrame:
-    """The enriched events with their time read and their whole numbers parsed, each in
-    a column of its own, so that the steps after it test plain columns."""
-    numbers = [
-        f"{sources.whole(c, wide)} AS {_number_name(c)}"
-        for c in LOG_COLUMNS
-        if c.kind.startswith("uint")
+def _numbers(sources: _Sources, wide: str) -> list[str]:
+    """An array per width with the sink values of its columns. Worked out as arrays, they
+    stay out of the loop that Spark fuses the projection into, which with them would be
+    too large for the JVM to compile."""
+    return [
+        f"""transform(transform(array({', '.join(sources.raw(c) for c in _unsigned(kind))}),
+            x -> {coerce.whole('x', kind, wide)}), n -> {coerce.stored_uint('n', kind, wide)})
+            AS _{kind}"""
+        for kind in UINT_TYPES
     ]
-    return with_event_time(enriched, sources.time_text()).selectExpr("*", *numbers)
 
 
 def log_projection(
@@ -81,10 +82,14 @@ def log_projection(
             return coerce.to_ipv4(raw)
         if column.kind == "float":
             return coerce.or_zero(sources.finite(column))
-        return coerce.stored_uint(_number_name(column), column.kind, wide)
+        if column.from_tool:
+            return coerce.stored_uint(sources.whole(column), column.kind, wide)
+        return f"get(_{column.kind}, {_unsigned(column.kind).index(column)})"
 
-    parsed = _parsed(enriched, sources, wide)
-    return parsed.selectExpr(*[f"{value(c)} AS `{c.name}`" for c in LOG_COLUMNS])
+    parsed = with_event_time(enriched, sources.time_text())
+    return parsed.selectExpr("*", *_numbers(sources, wide)).selectExpr(
+        *[f"{value(c)} AS `{c.name}`" for c in LOG_COLUMNS]
+    )
 
 
 def violations(
@@ -102,7 +107,7 @@ def violations(
         if column.kind == "float":
             return coerce.float_breach(raw, sources.finite(column))
         if column.kind.startswith("uint"):
-            return coerce.uint_breach(raw, _number_name(column), column.kind, wide)
+            return coerce.uint_breach(raw, sources.whole(column, wide), column.kind, wide)
         return None
 
     checked = [c for c in LOG_COLUMNS if breach(c)]
@@ -117,7 +122,7 @@ def violations(
     # The outer generator keeps the test for an empty report above the report itself;
     # as a filter below, it would work out every rule twice.
     return (
-        _parsed(enriched, sources, wide)
+        with_event_time(enriched, sources.time_text())
         .selectExpr(
             f"{log_id or sources.raw(LOG_COLUMNS[0])} AS log_id",
             f"filter(array({rows}), v -> v.rule IS NOT NULL) AS _found",

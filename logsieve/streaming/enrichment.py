@@ -22,6 +22,7 @@ from logsieve.schema import URL_KEYS
 from logsieve.session import checkpoint_location
 from logsieve.sinks.deadletters import write_dead_letters
 from logsieve.sinks.tables import write_logs
+from logsieve.sources.spread import spread
 
 BAD_JSON = "bad_json"
 
@@ -53,7 +54,8 @@ def process_batch(
     counts. The classified batch is kept while its four outputs are written, so it is
     read, parsed and joined once."""
     extra = tuple(k for k in url_keys if k not in URL_KEYS)
-    batch = classify(parse_events(messages, extra_keys=extra), tools, url_keys).persist()
+    events = parse_events(spread(messages), extra_keys=extra)
+    batch = classify(events, tools, url_keys).persist()
     try:
         kept = batch.filter(F.col("reason") == "kept")
         write_logs(log_projection(kept, fallback), outputs.logs, batch_id)

@@ -1,0 +1,51 @@
+"""The command line, from a CSV file and a CEF file to the log table."""
+
+from __future__ import annotations
+
+import pytest
+
+from logsieve.jobs import main
+from logsieve.sinks.deadletters import read_dead_letters
+from logsieve.sources.spread import spread
+
+CSV = """logid,eventtime,dstname,srcip,sentbyte
+1,2024-01-02T03:04:05Z, Chat.AI ,10.0.0.1,12
+2,2024-02-02T03:04:05Z,plain.com,10.0.0.2,13
+3,2024-03-02 03:04:05,chat.ai,300.0.0.1,-4
+short
+"""
+CEF = "CEF:0|V|P|1|9|visit|3|src=10.0.0.9 dhost=chat.ai\nnoise\n"
+
+
+@pytest.mark.parametrize("cef_keys", [False, True])
+def test_from_files_to_the_log_table(spark, tmp_path, cef_keys):
+    (tmp_path / "fw.csv").write_text(CSV)
+    (tmp_path / "proxy.cef").write_text(CEF)
+    dimension = str(tmp_path / "tools")
+    spark.createDataFrame(
+        [(1, "chat.ai", "true", 9.0), (2, "plain.com", "false", 1.0)],
+        "id long, url string, has_ai string, score double",
+    ).write.parquet(dimension)
+    messages, dead, out = (str(tmp_path / n) for n in ("messages", "dead", "out"))
+    for name in ("fw.csv", "proxy.cef"):
+        main(["ingest", "--input", str(tmp_path / name), "--messages", messages,
+              "--dead-letters", dead, "--extension", "dhost"])
+    assert spark.read.text(messages).count() == 4
+    assert {(r.error, r.line) for r in read_dead_letters(spark, dead).collect()} == {
+        ("malformed_row", None), ("parse_failed", 2),
+    }
+    main(["enrich", "--messages", messages, "--tools", dimension, "--output", out, "--drain",
+          "--checkpoint", str(tmp_path / "cp"), *(["--cef-keys"] if cef_keys else [])])
+    logs = spark.read.parquet(f"{out}/logs")
+    expected = [(1, 202401, "10.0.0.1", 12), (3, 202403, "0.0.0.0", 0)] + [(0, None, "0.0.0.0", 0)] * cef_keys
+    got = [(int(r.log_id), r.yyyymm, r.srcip, int(r.sentbyte)) for r in logs.collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    rules = {(r.column, r.rule) for r in spark.read.parquet(f"{out}/violations").collect()}
+    assert {("srcip", "not_ipv4"), ("sentbyte", "out_of_range")} <= rules
+    assert spark.read.parquet(f"{out}/tools").count() == 2
+
+
+def test_few_splits_are_spread_and_many_left_alone(spark):
+    few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 64)
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(many) is many
