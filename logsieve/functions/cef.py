@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logsieve.functions.once import with_once
+from logsieve.functions.once import quoted, with_once
 from logsieve.functions.records import with_map
 
 HEADER_FIELDS = ("vendor", "product", "version", "signature_id", "name", "severity")
@@ -76,7 +76,7 @@ def with_extensions(df: DataFrame, extensions: Column) -> DataFrame:
     carry the white space behind them, and one more than the keys comes first."""
     cut = df.withColumn("_extensions", extensions)
     return cut.select(
-        *df.columns,
+        *[quoted(c) for c in df.columns],
         F.regexp_extract_all("_extensions", F.lit(_KEY), F.lit(1)).alias("_keys"),
         F.split("_extensions", _KEY, -1).alias("_values"),
     )
@@ -105,8 +105,8 @@ def with_extension_map(df: DataFrame, extensions: Column, name: str) -> DataFram
     """Add all extensions as a map; the last one of a repeated key wins."""
     found = with_extensions(df, extensions)
     cleaned = F.transform(F.slice("_values", F.lit(2), F.size("_keys")), _clean)
-    return with_map(found.withColumn("_cleaned", cleaned), "_keys", "_cleaned", name).select(
-        *df.columns, name
+    return with_map(found.withColumn("_cleaned", cleaned), "_keys", "_cleaned", name).drop(
+        "_keys", "_values", "_cleaned"
     )
 
 

@@ -13,5 +13,10 @@ def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     projection by repeating its expressions. They do not move below a generator, so the
     value goes through one that yields exactly one row.
     """
-    others = [c for c in df.columns if c != name]
+    others = [quoted(c) for c in df.columns if c != name]
     return df.select(*others, F.explode(F.array(value)).alias(name))
+
+
+def quoted(name: str) -> str:
+    """A column name as it has to be written where dots would mean fields."""
+    return "`" + name.replace("`", "``") + "`"

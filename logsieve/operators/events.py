@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logsieve.functions.once import quoted
 from logsieve.functions.records import with_map
 from logsieve.schema import event_field, event_keys
 
@@ -35,7 +36,9 @@ def _parse(messages: DataFrame, value: str, element: str, named: str | None = No
         array = array.cast(f"array<{named}>")
     parsed = messages.withColumn("_parsed", array)
     whole = F.when((F.size("_parsed") == 1) & _closed(text), F.col("_parsed"))
-    return parsed.select(*messages.columns, F.explode_outer(whole).alias("event"))
+    return parsed.select(
+        *[quoted(c) for c in messages.columns], F.explode_outer(whole).alias("event")
+    )
 
 
 def parse_json_map(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -43,7 +46,7 @@ def parse_json_map(messages: DataFrame, value: str = "value") -> DataFrame:
     text; the last of a repeated key wins."""
     parsed = _parse(messages, value, "map<string,string>")
     arrays = parsed.withColumns({"_keys": F.map_keys("event"), "_values": F.map_values("event")})
-    return with_map(arrays, "_keys", "_values", "event").select(*messages.columns, "event")
+    return with_map(arrays, "_keys", "_values", "event").drop("_keys", "_values")
 
 
 def parse_events(

@@ -160,7 +160,7 @@ def ip_text() -> Column:
     return _pick(
         i % 4,
         F.concat_ws(".", F.lit("10.0"), (user % 256).cast("string"), (i % 300).cast("string")),
-        F.concat_ws(".", F.lit("192.168"), user.cast("string"), F.lit("1")),
+        F.concat_ws(".", F.lit("192.168"), (user % 256).cast("string"), F.lit("1")),
         F.lit("::1"),
         F.lit(""),
     )

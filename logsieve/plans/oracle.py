@@ -53,7 +53,7 @@ def _uint(limit: int) -> str:
 _IPV4 = """CASE event_id % 4
         WHEN 0 THEN CASE WHEN event_id % 300 < 256
             THEN '10.0.' || (user_id % 256) || '.' || (event_id % 300) ELSE '0.0.0.0' END
-        WHEN 1 THEN '192.168.' || user_id || '.1'
+        WHEN 1 THEN '192.168.' || (user_id % 256) || '.1'
         ELSE '0.0.0.0' END"""
 
 _CEF_OK = "event_id % 17 <> 0"
@@ -184,7 +184,9 @@ def all_sql() -> dict[str, str]:
         "has_ai_filter": """
             SELECT CAST(n_nationkey AS BIGINT) AS id,
                 CAST(CASE WHEN n_regionkey IN (0, 1, 3) THEN 1 ELSE 0 END AS BIGINT) AS has_ai
-            FROM nation""",
+            FROM nation
+            UNION ALL
+            SELECT s_suppkey + 1000, 1 FROM supplier WHERE s_suppkey % 10 <> 0""",
         "tools_lookup": """
             WITH versions AS (
                 SELECT CAST(n_nationkey AS BIGINT) AS nation, CAST(n_nationkey AS BIGINT) AS id,
@@ -281,12 +283,11 @@ def all_sql() -> dict[str, str]:
             SELECT c_custkey, '{{' || string_agg('"' || k || '":"' || v || '"', ',' ORDER BY k) || '}}'
                 AS payload
             FROM cells GROUP BY c_custkey""",
-        "parquet_to_map": """
-            SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, k, v FROM (
-                SELECT n_nationkey, 'n_nationkey' AS k, CAST(n_nationkey AS VARCHAR) AS v FROM nation
-                UNION ALL SELECT n_nationkey, 'n_name', n_name FROM nation
-                UNION ALL SELECT n_nationkey, 'n_regionkey', CAST(n_regionkey AS VARCHAR) FROM nation)
-            WHERE v <> ''""",
+        "parquet_to_map": " UNION ALL ".join(
+            f"""SELECT p_partkey, '{c}' AS k, CAST({c} AS VARCHAR) AS v FROM part
+                WHERE CAST({c} AS VARCHAR) <> ''"""
+            for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+        ),
         "normalize_header": """
             SELECT p_partkey, regexp_replace(lower(p_name || p_brand || p_type), '[^a-z0-9]', '', 'g')
                 AS normalized

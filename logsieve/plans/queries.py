@@ -116,7 +116,8 @@ def url_key(spark, sf_dir):
 
 @query
 def has_ai_filter(spark, sf_dir):
-    return normalise_tools(inputs.tools(spark, sf_dir)).select("id", _long("has_ai"))
+    tools = normalise_tools(inputs.tools_with_duplicates(spark, sf_dir))
+    return tools.select("id", _long("has_ai"))
 
 
 @query
@@ -258,9 +259,9 @@ def map_to_json_query(spark, sf_dir):
 
 @query
 def parquet_to_map(spark, sf_dir):
-    maps = records(read_parquet(spark, f"{sf_dir}/nation.parquet"))
+    maps = records(read_parquet(spark, f"{sf_dir}/part.parquet"))
     return maps.select(
-        F.col("event")["n_nationkey"].cast("bigint").alias("n_nationkey"),
+        F.col("event")["p_partkey"].cast("bigint").alias("p_partkey"),
         F.explode("event").alias("k", "v"),
     )
 

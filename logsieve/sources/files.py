@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logsieve.functions.once import quoted
 from logsieve.functions.records import row_to_json, row_to_map
 from logsieve.functions.text import non_empty
 from logsieve.sources.lines import read_lines
@@ -36,11 +37,7 @@ class Rows:
     columns: list[str]
 
     def cells(self) -> list[Column]:
-        return [F.col(_quoted(c)) for c in self.columns]
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+        return [F.col(quoted(c)) for c in self.columns]
 
 
 def route(path: str) -> str:
@@ -129,7 +126,7 @@ def read_parquet(spark: SparkSession, path: str) -> Rows:
 
 def as_text(df: DataFrame, column: str) -> Column:
     dtype = df.schema[column].dataType
-    source = F.col(_quoted(column))
+    source = F.col(quoted(column))
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
         return F.to_json(source).alias(column)
     return source.cast("string").alias(column)
