@@ -9,9 +9,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from logsieve.plans.oracle import all_sql
+from logsieve.plans.queries import all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -50,5 +52,9 @@ def test_query_matches_sql(spark, oracle, name):
             assert a == b, (g, w)
 
 
+def test_all_are_registered():
+    assert QUERIES.keys() <= entry.queries().keys() and SQL.keys() <= entry.oracle_sql().keys()
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
