@@ -36,8 +36,49 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which words of each document stand in a window of a test item."""
+    from logsieve.llm.decontam import find_contamination
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, read(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(F.col("items").cast("array<string>")), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as an archive and read back."""
+    from logsieve.llm.warc import read_back, write_archive
+
+    return read_back(write_archive(read(spark, sf_dir, "pages"), least=0))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in 24 shards of near equal bytes."""
+    from logsieve.llm.kdshards import kd_shards
+
+    return kd_shards(read(spark, sf_dir, "documents"), shards=24).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_byte_bpe": op2_byte_bpe,
+    "op7_warc": op7_warc,
+    "op9_sharding": op9_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {}
