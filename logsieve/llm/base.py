@@ -88,7 +88,7 @@ def with_arrow_columns(
     returns one array for each field of ``added``. Columns of ``df`` that are named like an added
     one are replaced. Nothing is shuffled and no more than a slice is held beside its batch."""
     kept = without(df, added.fieldNames())
-    hidden = "__text"
+    hidden = "__arrow_text"
     source = df.select(*columns(df, kept), F.col(quoted(text)).alias(hidden))
     schema = T.StructType([*(df.schema[c] for c in kept), *added.fields])
 

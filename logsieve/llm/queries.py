@@ -74,11 +74,19 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets are at least 0.85 similar."""
+    from logsieve.llm.hyperminhash import near_duplicates
+
+    return near_duplicates(read(spark, sf_dir, "documents"), percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_byte_bpe": op2_byte_bpe,
     "op7_warc": op7_warc,
     "op9_sharding": op9_sharding,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {}
