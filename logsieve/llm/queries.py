@@ -59,6 +59,24 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(write_archive(read(spark, sf_dir, "pages"), least=0))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents the quality rules keep, and why not."""
+    from logsieve.llm.quality_rules import quality_rules
+
+    ruled = quality_rules(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return ruled.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "n_failed_lines",
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 24 shards of near equal bytes."""
     from logsieve.llm.kdshards import kd_shards
@@ -85,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_byte_bpe": op2_byte_bpe,
     "op7_warc": op7_warc,
+    "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_near_duplicates": op10_near_duplicates,
 }
