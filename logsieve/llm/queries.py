@@ -52,6 +52,18 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    from logsieve.llm.pii import KINDS, find_pii
+
+    docs = read(spark, sf_dir, "documents")
+    found = find_pii(docs.select("doc_id", "text")).select("doc_id", "spans")
+    joined = lambda spans: F.expr(f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
+    base = found.withColumn("base", F.expr("filter(spans, s -> s.base)"))
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{k}')) AS bigint) AS n_{k}") for k in KINDS]
+    return base.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as an archive and read back."""
     from logsieve.llm.warc import read_back, write_archive
@@ -102,6 +114,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_byte_bpe": op2_byte_bpe,
+    "op5_personal_data": op5_personal_data,
     "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
