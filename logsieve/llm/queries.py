@@ -52,6 +52,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every text under a class-based model of six sevenths of them."""
+    from logsieve.llm.brown import score_texts
+
+    return score_texts(read(spark, sf_dir, "documents"), folds=7, held=2)
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
     from logsieve.llm.pii import KINDS, find_pii
@@ -114,6 +121,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_lm_scores": op3_lm_scores,
     "op5_personal_data": op5_personal_data,
     "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,
