@@ -59,6 +59,18 @@ def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(read(spark, sf_dir, "documents"), folds=7, held=2)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    from logsieve.llm.secrets import find_secrets
+
+    found = find_secrets(read(spark, sf_dir, "documents")).withColumn("base", F.expr("filter(spans, s -> s.kind <> 'model')"))
+    joined = lambda spans: F.expr(f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
+    counts = [
+        F.expr(f"CAST(size(filter(base, s -> s.kind = '{k}')) AS bigint) AS n_{k}") for k in ("assign", "access", "hex")
+    ]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
     from logsieve.llm.pii import KINDS, find_pii
@@ -71,6 +83,13 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op6_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned from two thirds of the labels."""
+    from logsieve.llm.fourier import score_quality
+
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), folds=3, held=1)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as an archive and read back."""
     from logsieve.llm.warc import read_back, write_archive
@@ -122,7 +141,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_lm_scores": op3_lm_scores,
+    "op4_secrets": op4_secrets,
     "op5_personal_data": op5_personal_data,
+    "op6_quality_scores": op6_quality_scores,
     "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
