@@ -128,3 +128,28 @@ def test_components(spark):
             changed |= root[a] != low or root[b] != low
             root[a] = root[b] = low
     assert got == root
+
+
+def test_common_elements():
+    from logsieve.llm import hyperminhash
+
+    r = np.random.RandomState(3)
+    sets = [np.unique(r.randint(0, 400, r.randint(0, 200)).astype(np.uint64)) for _ in range(30)]
+    left, right = np.arange(0, 12), np.arange(8, 30)
+    hyperminhash.COLUMNS, kept = 37, hyperminhash.COLUMNS
+    got = hyperminhash.common(sets, left, right)
+    hyperminhash.COLUMNS = kept
+    assert got.tolist() == [[len(np.intersect1d(sets[x], sets[y])) for y in right] for x in left]
+
+
+def test_a_loose_family(spark, monkeypatch):
+    """Copies that are linked with few of the others, in more than one block."""
+    from logsieve.llm import hyperminhash
+
+    monkeypatch.setattr(hyperminhash, "BLOCK", 20)
+    r = random.Random(11)
+    words = [f"w{i}" for i in range(500)]
+    rows = list(enumerate(t for n, m in ((60, 50), (90, 40)) for t in family(r, words, n * 3, m)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(docs).collect()
+    assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in got), key=str) == brute(rows)
