@@ -2,7 +2,7 @@
 extensions``, where extensions are ``key=value`` pairs separated by white space.
 
 All patterns are linear in the line's length: no group repeats without a possessive
-quantifier, so a line of a megabyte neither backtracks nor overflows the stack.
+quantifier, so a line of any length neither backtracks nor overflows the stack.
 """
 
 from __future__ import annotations
@@ -15,9 +15,6 @@ from logsieve.functions.records import with_map
 
 HEADER_FIELDS = ("vendor", "product", "version", "signature_id", "name", "severity")
 
-# Lines of this many bytes or more are rejected unread.
-MAX_LINE_BYTES = 1024 * 1024
-
 # Each match is a bar and the text up to the next one that is not escaped; the first
 # follows the version, the others follow one another.
 _FIELD = r"(?s)(?:^CEF:[0-9]+|\G(?!^))\|([^|\\]*+(?:\\.[^|\\]*+)*+)"
@@ -112,4 +109,4 @@ def with_extension_map(df: DataFrame, extensions: Column, name: str) -> DataFram
 
 def severity(text: Column) -> Column:
     """Whole number as written, 0 for a word such as ``High``."""
-    return F.coalesce(F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("int")), F.lit(0))
+    return F.coalesce(F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint")), F.lit(0).cast("bigint"))

@@ -10,21 +10,22 @@ turns messages into the log table. Run either with spark-submit::
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logsieve.operators.maintain import RETENTION_DAYS
 from logsieve.operators.cef import cef_json, cef_records, cef_rejects, parse_cef
 from logsieve.schema import CEF_URL_KEYS, URL_KEYS
 from logsieve.session import configure
 from logsieve.sinks.deadletters import write_dead_letters
 from logsieve.sinks.messages import Writer, publish, text_writer
-from logsieve.sinks.tables import sync_tools
+from logsieve.sinks.tables import compact_tools, expire_logs, sync_tools
 from logsieve.sources.files import Rows, bad_rows, messages, read_logs, route
 from logsieve.sources.kafka import TopicOptions, read_topic, topic_writer
 from logsieve.sources.lines import block_offsets, with_line_numbers
-from logsieve.sources.spread import spread
 from logsieve.sources.tools import tools_loader
 from logsieve.streaming.enrichment import Outputs, start_enrichment
 
@@ -79,7 +80,6 @@ def _ingest_cef(
 
 
 def _ingest_rows(rows: Rows, write: Writer, dead_letters: str) -> Ingested:
-    rows = Rows(spread(rows.df), rows.headers, rows.columns)
     sent = publish(messages(rows), write, dead_letters)
     malformed = bad_rows(rows).select(
         F.lit(MALFORMED_ROW).alias("error"),
@@ -110,8 +110,9 @@ def _parser() -> argparse.ArgumentParser:
     two.add_argument("--tools-format", default="parquet")
     two.add_argument("--checkpoint")
     two.add_argument("--window-seconds", type=int, default=30)
-    two.add_argument("--max-per-batch", type=int, help="most messages of a topic per batch")
-    two.add_argument("--max-files", type=int, help="most message files per batch")
+    two.add_argument("--max-per-batch", type=int, default=TopicOptions.max_per_batch, help="most messages of a topic per batch")
+    two.add_argument("--min-partitions", type=int, help="least tasks a topic's batch is read in")
+    two.add_argument("--max-bytes", type=int, default=16 << 30, help="most bytes of message files per batch, one file at least")
     two.add_argument("--drain", action="store_true", help="work off what is there and end")
     two.add_argument("--fallback-now", action="store_true", help="unreadable times become now")
     two.add_argument("--cef-keys", action="store_true", help="also look up CEF destinations")
@@ -120,9 +121,27 @@ def _parser() -> argparse.ArgumentParser:
     source.add_argument("--brokers", help="brokers of the topic to read")
     two.add_argument("--topic", default=TopicOptions.topic)
     two.add_argument("--group-id")
+
+    three = jobs.add_parser("expire", help="delete log rows that are past retention")
+    three.add_argument("--logs", required=True)
+    three.add_argument("--days", type=int, default=RETENTION_DAYS)
+    three.add_argument("--as-of", type=dt.date.fromisoformat, help="default: today in UTC")
+
+    four = jobs.add_parser("compact-tools", help="current version of each tool to a table of its own")
+    four.add_argument("--tools", required=True)
+    four.add_argument("--target", required=True)
     return parser
 
 
+def _run_expire(spark: SparkSession, args: argparse.Namespace) -> None:
+    today = args.as_of or dt.datetime.now(dt.timezone.utc).date()
+    print(expire_logs(spark, args.logs, today, args.days))
+
+
+def _run_compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    compact_tools(spark, args.tools, args.target)
+
+
 def _run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.messages:
         write = text_writer(args.messages)
@@ -139,15 +158,16 @@ def _run_enrich(spark: SparkSession, args: argparse.Namespace) -> None:
     outputs = Outputs.under(args.output)
     sync_tools(load(), f"{args.output.rstrip('/')}/tools")
     if args.messages:
-        files = spark.readStream
-        if args.max_files:
-            files = files.option("maxFilesPerTrigger", args.max_files)
-        stream = files.text(args.messages)
+        stream = spark.readStream.option("maxBytesPerTrigger", args.max_bytes).text(args.messages)
     else:
         stream = read_topic(
             spark,
             TopicOptions(
-                args.brokers, args.topic, group_id=args.group_id, max_per_batch=args.max_per_batch
+                args.brokers,
+                args.topic,
+                group_id=args.group_id,
+                max_per_batch=args.max_per_batch,
+                min_partitions=args.min_partitions,
             ),
         )
     start_enrichment(
@@ -165,7 +185,12 @@ def _run_enrich(spark: SparkSession, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = configure(SparkSession.builder.appName(f"logsieve-{args.job}").getOrCreate())
-    {"ingest": _run_ingest, "enrich": _run_enrich}[args.job](spark, args)
+    {
+        "ingest": _run_ingest,
+        "enrich": _run_enrich,
+        "expire": _run_expire,
+        "compact-tools": _run_compact,
+    }[args.job](spark, args)
 
 
 if __name__ == "__main__":

@@ -7,17 +7,13 @@ from pyspark.sql import functions as F
 
 from logsieve.functions import cef
 
-PARSE_FAILED, TOO_LONG = "parse_failed", "line_too_long"
+PARSE_FAILED = "parse_failed"
 
 
 def parse_cef(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Add `header` (NULL for a reject) and `error` (NULL for a record).
-
-    Over-long lines are rejected before any pattern sees them."""
-    fits = F.octet_length(line) < cef.MAX_LINE_BYTES
-    guarded = lines.withColumn("_line", F.when(fits, F.col(line)))
-    error = F.when(F.col("header").isNull(), F.when(fits, PARSE_FAILED).otherwise(TOO_LONG))
-    return cef.with_header(guarded, "_line").drop("_line").withColumn("error", error)
+    """Add `header` (NULL for a reject) and `error` (NULL for a record)."""
+    error = F.when(F.col("header").isNull(), PARSE_FAILED)
+    return cef.with_header(lines, line).withColumn("error", error)
 
 
 def cef_records(
@@ -27,7 +23,9 @@ def cef_records(
     src, dst, name and the line itself; `keep` names columns to carry along and
     `extensions` further extension keys to take out."""
     header = F.col("header")
-    wanted = ("src", "dst", *extensions)
+    # A key that is asked for twice, or named like a fixed one, comes once.
+    fixed = ("device_vendor", "device_product", "signature_id", "severity", "name", "raw_log", *keep)
+    wanted = tuple(dict.fromkeys(("src", "dst", *(k for k in extensions if k not in fixed))))
     found = cef.with_extensions(
         parsed.filter(F.col("error").isNull()), header["extensions"]
     ).withColumn("_wanted", cef.extension_values(wanted))

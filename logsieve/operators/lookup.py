@@ -11,10 +11,8 @@ from logsieve.functions.text import is_true, lookup_key
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Without a broadcast, keys with at least this many events are joined apart, at most
-# this many of them: the most frequent ones.
-HOT_KEY_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
+# Tasks over which each key of a join without broadcast is dealt.
+SALTS = 16
 
 TOOL_COLUMNS = ("id", "name", "url", "has_ai", "ai_category", "score", "risk", "updated_at")
 
@@ -81,9 +79,10 @@ def lookup_join(
     and small enough if the lookup is made from it.
 
     A lookup within the bounds is broadcast and the events stay where they are. A
-    larger one is joined by a shuffle, from which the most frequent keys of the events
-    are taken out first: their lookup rows are few by construction, so those events are
-    joined by a broadcast and no key can fill a task.
+    larger one is joined by one shuffle of the events, dealt to SALTS tasks per key: every
+    row of the lookup is there SALTS times (the lookup is the small side), so a key that
+    a third of all events share is spread whatever the session's settings, and adaptive
+    execution can split what is still too large. The events are read once.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how}")
@@ -92,26 +91,11 @@ def lookup_join(
 
     if how == "inner":
         events = events.filter(F.col(key) != "")
-    hot = hot_keys(events, key)
-    if not hot:
-        return events.hint("shuffle_merge").join(lookup, key, how)
-    in_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    few = lookup.filter(F.col(key).isin(hot))
-    return (
-        events.filter(in_hot)
-        .join(F.broadcast(few), key, how)
-        .unionByName(events.filter(~in_hot).hint("shuffle_merge").join(lookup, key, how))
+    # Rows are dealt in turn, in the order of their split: alike ones are spread too.
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn(
+        "_salt", F.col("_salt").cast("bigint")
     )
+    salted = events.withColumn("_salt", salt).hint("shuffle_merge")
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
-
-def hot_keys(events: DataFrame, key: str) -> list[str]:
-    """The most frequent keys, exactly counted (with partial counts before the shuffle);
-    only the bounded head of the ranking reaches the driver."""
-    counts = events.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    head = (
-        counts.filter(F.col(key).isNotNull() & (F.col("n") >= HOT_KEY_ROWS))
-        .orderBy(F.desc("n"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    return [r[key] for r in head]

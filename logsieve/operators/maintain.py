@@ -18,11 +18,14 @@ def month_of(date: Column) -> Column:
 
 
 def retained(logs: DataFrame, as_of: dt.date, days: int = RETENTION_DAYS) -> DataFrame:
-    """Rows no older than `days` before `as_of`, the boundary day included; rows without
-    a date cannot be said to be old and stay. Where the table is partitioned by month,
-    older months are not even listed."""
+    """Rows no older than `days` before `as_of`, the boundary day included. Rows without
+    a date are as old as their insertion, where the table has its time (`_inserted_at`), else
+    they stay. Where the table is partitioned by month, older months are not even listed."""
     horizon = as_of - dt.timedelta(days=days)
-    kept = logs.filter(F.col("date").isNull() | (F.col("date") >= F.lit(horizon)))
+    age = F.col("date")
+    if "_inserted_at" in logs.columns:
+        age = F.coalesce(age, F.to_date("_inserted_at"))
+    kept = logs.filter(age.isNull() | (age >= F.lit(horizon)))
     if "yyyymm" in logs.columns:
         first = horizon.year * 100 + horizon.month
         kept = kept.filter(F.col("yyyymm").isNull() | (F.col("yyyymm") >= first))

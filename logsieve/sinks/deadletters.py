@@ -10,9 +10,11 @@ from logsieve.operators.cef import reject_json
 DEAD_LETTER_SCHEMA = "error string, line bigint, raw string"
 
 
-def write_dead_letters(letters: DataFrame, path: str, batch_id: int | None = None) -> int:
+def write_dead_letters(
+    letters: DataFrame, path: str, batch_id: int | None = None, run: str = "stream"
+) -> int:
     """Write `(error, line, raw)` rows and return how many. With a batch id a repeated
-    write replaces the first; without one, rows are added."""
+    write by the same run replaces the first; without one, rows are added."""
     seen = Observation()
     text = letters.select(
         reject_json(F.col("error"), F.col("line"), F.col("raw")).alias("value")
@@ -20,7 +22,7 @@ def write_dead_letters(letters: DataFrame, path: str, batch_id: int | None = Non
     if batch_id is None:
         text.write.mode("append").text(path)
     else:
-        text.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+        text.write.mode("overwrite").text(f"{path}/run={run}/batch_id={batch_id}")
     return seen.get["n"]
 
 

@@ -2,33 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsieve.operators.lookup import normalise_tools
-from logsieve.operators.maintain import month_of
+from logsieve.operators.maintain import RETENTION_DAYS, latest_tools, month_of, retained
 from logsieve.sources.files import Rows, good_rows
 
 # The order of rows within a file of the log table.
 SORT_KEY = ("date", "eventtime", "tool_id", "srcip")
 
 
-def write_logs(logs: DataFrame, path: str, batch_id: int | None = None) -> None:
+def write_logs(logs: DataFrame, path: str, batch_id: int | None = None, run: str | None = None) -> None:
     """Write the log table's columns and the insertion time, partitioned by month and
     sorted within each file.
 
     Rows are gathered by month with a rebalancing shuffle: a month too large for one
     task is split over several and small ones share a task, so neither one huge month
-    nor many small files result. With a batch id, writing the same batch again replaces
-    it; without one, rows are added.
+    nor many small files result. Below the month lie the run that wrote the rows (a stream
+    by its query's id) and its batch: writing the same batch of the same run again replaces
+    it and touches nothing else; without a batch id, the rows are a run of their own.
     """
     stamped = logs.withColumn("_inserted_at", F.current_timestamp()).withColumn(
         "yyyymm", month_of(F.col("date"))
     )
     # The month leads the sort so that the partitioned write adds no sort of its own.
     laid_out = stamped.hint("rebalance", "yyyymm").sortWithinPartitions("yyyymm", *SORT_KEY)
-    target, mode = (path, "append") if batch_id is None else (f"{path}/batch_id={batch_id}", "overwrite")
-    laid_out.write.mode(mode).partitionBy("yyyymm").option("compression", "snappy").parquet(target)
+    run = run or ("stream" if batch_id is not None else f"batch-{uuid.uuid4().hex}")
+    placed = laid_out.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id or 0).cast("bigint")})
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("yyyymm", "run", "batch_id").option("compression", "snappy").parquet(path)
 
 
 def tool_versions(tools: DataFrame) -> DataFrame:
@@ -57,3 +63,52 @@ def write_converted(rows: Rows, path: str) -> None:
     clean = good_rows(rows)
     named = clean.df.select(*clean.cells())
     named.write.mode("errorifexists").option("compression", "snappy").parquet(path)
+
+
+def expire_logs(spark: SparkSession, path: str, as_of: dt.date, days: int = RETENTION_DAYS) -> list[str]:
+    """Delete what `retained` leaves out of a log table; returns the folders that were dropped or
+    rewritten. Months before the horizon are dropped unread. Of the horizon's own month, and of rows
+    without a date, only folders (month, run, batch) with expired rows are written anew: first beside
+    the table, then in place, each folder replaced whole."""
+    logs = spark.read.parquet(path)
+    horizon = as_of - dt.timedelta(days=days)
+    first = horizon.year * 100 + horizon.month
+    part = ["yyyymm", "run", "batch_id"]
+    expired = logs.filter("yyyymm < %d" % first).select("yyyymm").distinct().collect()
+    done = [f"yyyymm={r.yyyymm}" for r in expired]
+    edge = logs.filter(F.col("yyyymm").isNull() | (F.col("yyyymm") == first))
+    left = retained(edge, as_of, days).select(*part, F.lit(1).alias("kept"))
+    gone = edge.select(*part, F.lit(0).alias("kept")).unionByName(left).groupBy(*part)
+    # A row per folder, of one month and of those without a date.
+    touched = gone.agg(F.count_if(F.col("kept") == 0).alias("n"), F.sum("kept").alias("left")).filter("left < n")
+    rows = touched.collect()
+    if rows:
+        on = F.broadcast(touched.select(*(F.col(p).alias(f"_{p}") for p in part)))
+        same = [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in part]
+        keep = retained(edge, as_of, days).join(on, same, "left_semi")
+        aside = f"{path.rstrip('/')}_expiring_{uuid.uuid4().hex}"
+        keep.write.parquet(aside)
+        writer = spark.read.parquet(aside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*part).parquet(path)
+        drop_folder(spark, aside)
+    null = "__HIVE_DEFAULT_PARTITION__"
+    for r in rows:
+        folder = f"yyyymm={null if r.yyyymm is None else r.yyyymm}/run={r.run}/batch_id={r.batch_id}"
+        done.append(folder)
+        if not r.left:
+            drop_folder(spark, f"{path}/{folder}")
+    for r in expired:
+        drop_folder(spark, f"{path}/yyyymm={r.yyyymm}")
+    return done
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system it lies on."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def compact_tools(spark: SparkSession, path: str, target: str) -> None:
+    """Write the current version of each tool to `target`, a table of its own that replaces the
+    versions once readers use it."""
+    latest_tools(spark.read.parquet(path)).write.mode("overwrite").parquet(target)

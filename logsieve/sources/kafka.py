@@ -16,7 +16,7 @@ class TopicOptions:
     group_id: str | None = None
     starting_offsets: str = "latest"
     # Rate limits: at most this many messages per micro-batch, in this many tasks or more.
-    max_per_batch: int | None = None
+    max_per_batch: int | None = 5_000_000
     min_partitions: int | None = None
 
     def reader_options(self) -> dict[str, str]:

@@ -1,19 +1,15 @@
-"""Use of the whole cluster for sources with few splits."""
+"""Use of the whole cluster for sources that cannot be split."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def spread(source: DataFrame) -> DataFrame:
-    """A source with fewer splits than the cluster has cores (a topic with few partitions,
-    a file that cannot be split), its rows dealt out to all cores before the parsing that
-    costs the time. A source with enough splits, as any large one has, is left alone.
+def spread(source: DataFrame, parts: int | None = None) -> DataFrame:
+    """The rows dealt out to `parts` tasks (default: one per core), by the caller's choice.
 
-    Meant for what comes straight from a reader: only the number of its splits is looked
-    up, nothing is run.
+    This is a shuffle of what the source reads. A topic is better read with its
+    `min_partitions` option and files in smaller splits; only a few unsplittable files
+    before costly work are worth it.
     """
-    cores = source.sparkSession.sparkContext.defaultParallelism
-    if source.rdd.getNumPartitions() >= cores:
-        return source
-    return source.repartition(cores)
+    return source.repartition(parts or source.sparkSession.sparkContext.defaultParallelism)

@@ -10,19 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logsieve.operators.enrich import classify
 from logsieve.operators.events import parse_events
-from logsieve.operators.metrics import reconcile
+from logsieve.operators.metrics import reconcile, window_counts
 from logsieve.operators.projection import log_projection, violations
 from logsieve.schema import URL_KEYS
 from logsieve.session import checkpoint_location
 from logsieve.sinks.deadletters import write_dead_letters
 from logsieve.sinks.tables import write_logs
-from logsieve.sources.spread import spread
 
 BAD_JSON = "bad_json"
 
@@ -49,24 +48,29 @@ def process_batch(
     outputs: Outputs,
     url_keys: tuple[str, ...] = URL_KEYS,
     fallback: str | None = None,
+    run: str = "stream",
 ) -> None:
     """Enrich one batch of messages and write its logs, violations, dead letters and
-    counts. The classified batch is kept while its four outputs are written, so it is
-    read, parsed and joined once."""
+    counts, below the name of the run. The messages stay in the source's splits. The
+    classified batch, of which unreadable messages alone keep their text, is kept while its
+    four outputs are written, so it is read, parsed and joined once; the source's rate
+    options bound it."""
     extra = tuple(k for k in url_keys if k not in URL_KEYS)
-    events = parse_events(spread(messages), extra_keys=extra)
-    batch = classify(events, tools, url_keys).persist()
+    events = parse_events(messages, extra_keys=extra)
+    batch = classify(events, tools, url_keys)
+    batch = batch.withColumn("value", F.when(F.col("reason") == BAD_JSON, F.col("value"))).persist()
+    part = f"run={run}/batch_id={batch_id}"
     try:
         kept = batch.filter(F.col("reason") == "kept")
-        write_logs(log_projection(kept, fallback), outputs.logs, batch_id)
-        violations(kept).write.mode("overwrite").parquet(f"{outputs.violations}/batch_id={batch_id}")
+        write_logs(log_projection(kept, fallback), outputs.logs, batch_id, run)
+        violations(kept).write.mode("overwrite").parquet(f"{outputs.violations}/{part}")
         unread = batch.filter(F.col("reason") == BAD_JSON).select(
             F.lit(BAD_JSON).alias("error"),
             F.lit(None).cast("bigint").alias("line"),
             F.col("value").alias("raw"),
         )
-        write_dead_letters(unread, outputs.dead_letters, batch_id)
-        reconcile(batch).write.mode("overwrite").parquet(f"{outputs.metrics}/batch_id={batch_id}")
+        write_dead_letters(unread, outputs.dead_letters, batch_id, run)
+        reconcile(batch).write.mode("overwrite").parquet(f"{outputs.metrics}/{part}")
     finally:
         batch.unpersist()
 
@@ -89,7 +93,7 @@ def start_enrichment(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, load_tools(), outputs, url_keys, fallback)
+        process_batch(batch, batch_id, load_tools(), outputs, url_keys, fallback, run_of(batch))
 
     writer = messages.writeStream.foreachBatch(run).option(
         "checkpointLocation", checkpoint_location(messages.sparkSession, "enrichment", checkpoint)
@@ -98,12 +102,29 @@ def start_enrichment(
     return writer.trigger(**trigger).start()
 
 
-def windowed_counts(events: DataFrame, ts: str, seconds: int = 30, late: str = "1 minute") -> DataFrame:
-    """Streaming count per event-time window, emitted once the watermark passes its end;
-    events later than `late` are left out."""
-    stamped = events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", late)
-    return (
-        stamped.groupBy(F.window("_ts", f"{seconds} seconds").alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n")
+def run_of(batch: DataFrame) -> str:
+    """The id of the stream that a micro-batch belongs to: it stays while its checkpoint does."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+
+
+def start_window_counts(
+    events: DataFrame, ts: str, path: str, checkpoint: str | None = None, seconds: int = 30, drain: bool = False
+) -> StreamingQuery:
+    """Start counting events per event-time window. Each micro-batch adds its own counts, and a
+    batch that is run again replaces them, so that no event is too late and no window waits for
+    the next; `read_window_counts` adds them up."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = window_counts(batch, ts, seconds)
+        counts.write.mode("overwrite").parquet(f"{path}/run={run_of(batch)}/batch_id={batch_id}")
+
+    writer = events.writeStream.foreachBatch(write).option(
+        "checkpointLocation", checkpoint_location(events.sparkSession, "window_counts", checkpoint)
     )
+    trigger = {"availableNow": True} if drain else {"processingTime": f"{seconds} seconds"}
+    return writer.trigger(**trigger).start()
+
+
+def read_window_counts(spark: SparkSession, path: str) -> DataFrame:
+    parts = spark.read.parquet(path)
+    return parts.groupBy("window_start", "window_end").agg(F.sum("n").alias("n"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
 from logsieve.jobs import main
 from logsieve.sinks.deadletters import read_dead_letters
@@ -45,7 +48,19 @@ def test_from_files_to_the_log_table(spark, tmp_path, cef_keys):
     assert spark.read.parquet(f"{out}/tools").count() == 2
 
 
-def test_few_splits_are_spread_and_many_left_alone(spark):
-    few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 64)
-    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many) is many
+def test_spreading_is_the_callers_choice(spark):
+    few = spark.range(0, 100, 1, 2)
+    assert spread(few, 5).select(F.spark_partition_id()).distinct().count() == 5
+    assert spread(few).count() == 100
+
+
+def test_odd_extensions_and_long_lines(spark, tmp_path):
+    long = "x" * (5 << 20)
+    lines = [f"CEF:0|V|P|1|9|n|99999999999|src=1.1.1.1 dst=2.2.2.2 msg={long}", "CEF:0|V|P|1|9|n|High|dst=3.3.3.3"]
+    (tmp_path / "a.cef").write_text("\n".join(lines) + "\n")
+    out = str(tmp_path / "messages")
+    main(["ingest", "--input", str(tmp_path / "a.cef"), "--messages", out, "--dead-letters", str(tmp_path / "dead"),
+          "--extension", "src", "--extension", "name", "--extension", "dst", "--extension", "msg", "--extension", "msg"])
+    sent = {m["dst"]: m for m in map(json.loads, (r.value for r in spark.read.text(out).collect()))}
+    assert sent["2.2.2.2"]["severity"] == 99999999999 and sent["2.2.2.2"]["msg"] == long
+    assert sent["2.2.2.2"]["raw_log"] == lines[0] and sent["3.3.3.3"]["severity"] == 0
