@@ -10,11 +10,15 @@ Bands of 6 registers make candidates: of two sets whose similarity is just the t
    shares the most bands with others, for the text from which a family of copies was made is the most
    central. Similarity is first estimated from the registers, corrected for chance collisions; what may
    reach the threshold is confirmed on the full sets.
-2. Where a band still holds more than one component, its members are screened in blocks of pairs by
-   their registers, and pairs of different components that may reach the threshold are confirmed too.
+2. What is still apart is compared in full. Each representative is at home with the most central text it
+   shares a band with, so a family has one home. In a home of several components, blocks of members meet two
+   by two, first by their registers to see who may have a partner at all; those are confirmed on the full
+   sets, by products of incidence matrices, and a task returns no more links than join its members. Pairs of a
+   band that have different homes are screened by their registers and confirmed one by one.
 
 So a family of copies costs one comparison per copy and band, no pair is given up for the size of a
-group, and no task holds a group whole. Components come from contraction by joins.
+group, no task holds a group whole, and pairs that are not linked are not written. Components come from
+contraction by joins.
 
 Defined results: a text without words (null, empty) has an empty set and is linked with nothing; a null
 id takes part in its class, and a component of null ids only has a null id; repeated rows are one
@@ -41,9 +45,10 @@ REGISTERS = BANDS * ROWS
 MANTISSA = 10
 EMPTY = 0xFFFF
 # Standard errors below the threshold at which an estimate rules a pair out.
-MARGIN = 6
-# Members of a band whose pairs one task screens at once.
+MARGIN = 5
+# Members of a band or home whose pairs one task sees at once, and elements that it counts at once.
 BLOCK = 512
+COLUMNS = 4096
 # The factor of the expected number of chance collisions in the published estimator; a fixed value.
 COLLISIONS = 0.169919487159739093975315012348
 
@@ -160,41 +165,127 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in a band (rep, band, root, signature, n_shingles) that may reach
-    the threshold. A band's members are dealt to blocks, and each two blocks meet in a group of their own."""
-    sizes = members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+def _dealt(members: DataFrame, group: str) -> DataFrame:
+    """The rows of each group in blocks, and a row for every two blocks (i <= j) that one is part of."""
+    sizes = members.groupBy(group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(sizes, group).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "band",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        "block",
-        "rep",
-        "root",
-        "signature",
-        "n_shingles",
-    )
+    return dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+
+
+def _likely_partners(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of the rows of two blocks, each of the first and those of the second that are in another component
+    and may reach the threshold by their registers (places in the table)."""
+    rep, root, n, block = (table.column(c).to_numpy() for c in ("rep", "root", "n_shingles", "block"))
+    own = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    right = np.flatnonzero(block == j)
+    right = right[np.argsort(n[right], kind="stable")]
+    sizes = n[right]
+    for x in np.flatnonzero(block == i):
+        low = np.searchsorted(sizes, -(-n[x] * percent // 100))
+        y = right[low : np.searchsorted(sizes, n[x] * 100 // percent, side="right")]
+        y = y[(root[y] != root[x]) & ((rep[y] > rep[x]) | (i != j))]
+        if len(y):
+            near, error = estimate(own[x][None, :], own[y], n[x], n[y])
+            y = y[near + MARGIN * error >= percent / 100]
+        if len(y):
+            yield x, y
+
+
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs in a band (band, rep, root, home, signature, n_shingles) of different components and homes
+    that may reach the threshold."""
 
     def run(table: pa.Table) -> pa.Table:
-        rep, root, n, block = (table.column(c).to_numpy() for c in ("rep", "root", "n_shingles", "block"))
-        own = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+        rep, home = (table.column(c).to_numpy() for c in ("rep", "home"))
         found = [np.zeros((0, 2), dtype=np.int64)]
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        right = np.flatnonzero(block == j)
-        for x in np.flatnonzero(block == i):
-            y = right[(root[right] != root[x]) & ((rep[right] > rep[x]) | (i != j))]
-            y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
-            near, error = estimate(own[x][None, :], own[y], n[x], n[y])
-            y = y[near + MARGIN * error >= percent / 100]
+        for x, y in _likely_partners(table, percent):
+            y = y[home[y] != home[x]]
             found.append(np.stack([np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])], axis=1))
         pairs = np.concatenate(found)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
+    dealt = _dealt(members, "band").drop("blocks", "other")
     return dealt.groupBy("band", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
+def _with_partners(members: DataFrame, percent: int) -> DataFrame:
+    """The members of homes (home, rep, root, signature, n_shingles) that may be linked with another
+    component of their home: rep."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rep, found = table.column("rep").to_numpy(), np.zeros(table.num_rows, dtype=bool)
+        for x, y in _likely_partners(table, percent):
+            found[x] = found[y] = True
+        return pa.table({"rep": rep[found]})
+
+    dealt = _dealt(members, "home").drop("blocks", "other")
+    return dealt.groupBy("home", "i", "j").applyInArrow(run, "rep long").distinct()
+
+
+def common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many elements each set of ``left`` shares with each of ``right`` (places in ``sets``),
+    by products of incidence matrices of some elements at a time."""
+    every = np.concatenate([np.zeros(0, np.uint64), *sets])
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    fresh = np.r_[True, every[1:] != every[:-1]]
+    column = np.cumsum(fresh) - 1
+    twice = np.bincount(column)[column] > 1 if len(column) else np.zeros(0, dtype=bool)
+    owner, column = owner[twice], column[twice]
+    total = np.zeros((len(left), len(right)), dtype=np.float32)
+    place = np.full(len(sets), -1)
+    bounds = np.flatnonzero(np.r_[True, column[1:] != column[:-1]]) if len(column) else np.zeros(0, dtype=np.int64)
+    limits = np.r_[bounds, len(column)]
+    for start in range(0, len(bounds), COLUMNS):
+        part = slice(limits[start], limits[min(start + COLUMNS, len(bounds))])
+        nth = np.searchsorted(bounds, np.arange(part.start, part.stop), side="right") - 1 - start
+        sides = []
+        for side in (left, right):
+            place[:] = -1
+            place[side] = np.arange(len(side))
+            use = place[owner[part]] >= 0
+            matrix = np.zeros((len(side), min(COLUMNS, len(bounds) - start)), dtype=np.float32)
+            matrix[place[owner[part]][use], nth[use]] = 1
+            sides.append(matrix)
+        total += sides[0] @ sides[1].T
+    return total
+
+
+def _within(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of a home (home, rep, root), confirmed on the full sets: of
+    each two blocks just as many as join what is joined at all."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rep, root, block = (table.column(c).to_numpy() for c in ("rep", "root", "block"))
+        own = [np.frombuffer(h, np.uint64) for h in table.column("hashes").to_pylist()]
+        size = np.array([len(s) for s in own])
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        links = []
+        if len(np.unique(root)) > 1:
+            both = common(own, left, right)
+            union = size[left][:, None] + size[right][None, :] - both
+            x, y = np.nonzero((100 * both >= percent * union) & (root[left][:, None] != root[right][None, :]))
+            up = {r: r for r in root.tolist()}
+            for p, q in zip(left[x].tolist(), right[y].tolist()):
+                a, b = int(root[p]), int(root[q])
+                while up[a] != a:
+                    a = up[a]
+                while up[b] != b:
+                    b = up[b]
+                if a != b:
+                    up[a] = up[root[p]] = b
+                    links.append(sorted((int(rep[p]), int(rep[q]))))
+        pairs = np.array(links, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    dealt = _dealt(members, "home").join(sets, "rep").select("home", "i", "j", "block", "rep", "root", "hashes")
+    return dealt.groupBy("home", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def _components(source: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """The signature of every row of ``source`` (__id, __text), and the classes of equal sets with the
     root of their component."""
@@ -229,23 +320,42 @@ def _components(source: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         "pairs",
     )
     likely = written(_screen(pairs, reps, percent), "screened")
-    found = written(_confirm(likely, _sets(source, reps, likely), percent), "confirmed")
+    ends = likely.select(F.explode(F.array("a", "b")).alias("rep"))
+    found = written(_confirm(likely, _sets(source, reps, ends), percent), "confirmed")
     roots = components(found)
-    placed = written(
-        members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "band", "rep", F.coalesce("root", "rep").alias("root")
+    homes = (
+        members.join(pivots, "band")
+        .join(weights.select(F.col("rep").alias("pivot"), "weight"), "pivot")
+        .groupBy("rep")
+        .agg((-F.max(F.struct("weight", (-F.col("pivot")).alias("minus")))["minus"]).alias("home"))
+    )
+    seats = written(
+        homes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "rep", "home", F.coalesce("root", "rep").alias("root")
         ),
-        "placed",
+        "seats",
+    )
+    several = lambda of, column: (
+        of.agg(F.min(column).alias("low"), F.max(column).alias("high")).where("low < high")
     )
-    mixed = written(
-        placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band"),
-        "mixed",
+    mixed_homes = several(seats.groupBy("home"), "root").select("home")
+    placed = written(members.select("rep", "band").join(seats, "rep"), "placed")
+    mixed_bands = (
+        placed.groupBy("band")
+        .agg(*(f(c).alias(f"{n}_{c}") for c in ("root", "home") for n, f in (("low", F.min), ("high", F.max))))
+        .where("low_root < high_root AND low_home < high_home")
+        .select("band")
     )
-    still_open = placed.join(mixed, "band").join(reps.select("rep", "signature", "n_shingles"), "rep")
-    more = written(_block_pairs(still_open, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    apart = placed.join(mixed_bands, "band").join(reps.select("rep", "signature", "n_shingles"), "rep")
+    across = written(_across(apart, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    together = seats.join(mixed_homes, "home").join(reps.select("rep", "signature", "n_shingles"), "rep")
+    together = written(seats.join(_with_partners(together, percent), "rep"), "together")
+    wanted = across.select(F.explode(F.array("a", "b")).alias("rep")).union(together.select("rep"))
+    sets = _sets(source, reps, wanted)
+    more = _within(together, sets, percent).union(_confirm(across, sets, percent))
+    more = written(more, "confirmed")
     if not more.isEmpty():
-        found = found.union(written(_confirm(more, _sets(source, reps, more), percent), "confirmed"))
-        roots = components(found)
+        roots = components(found.union(more))
     whole = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     return table, whole.withColumn("root", F.coalesce("root", "rep"))
 
@@ -298,9 +408,9 @@ def _key(shingles: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
 
-def _sets(source: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The full sets of the representatives in ``pairs``, made again from their texts."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+def _sets(source: DataFrame, reps: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The full sets of the representatives in ``wanted`` (rep), made again from their texts."""
+    wanted = wanted.distinct()
     keys = written(reps.join(wanted, "rep", "left_semi").select("rep", "doc_id", "set_key"), "wanted")
     ids = keys.select(F.col("doc_id").alias("wanted_id")).distinct()
     texts = source.join(ids, F.col("__id").eqNullSafe(F.col("wanted_id")), "left_semi")
