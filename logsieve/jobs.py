@@ -98,6 +98,8 @@ def _parser() -> argparse.ArgumentParser:
     one.add_argument("--input", required=True)
     one.add_argument("--kind", choices=("cef", "csv", "parquet"))
     one.add_argument("--extension", action="append", default=[], help="further CEF key to publish")
+    one.add_argument("--lenient", action="store_true", help="drop white space before a CSV cell")
+    one.add_argument("--split-lines", action="store_true", help="split large CSV files; no line breaks in cells")
     one.add_argument("--dead-letters", required=True)
     out = one.add_mutually_exclusive_group(required=True)
     out.add_argument("--messages", help="folder for message files")
@@ -147,9 +149,10 @@ def _run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         write = text_writer(args.messages)
     else:
         write = topic_writer(TopicOptions(args.brokers, args.topic))
-    done = ingest(
-        spark, args.input, write, args.dead_letters, args.kind, tuple(args.extension)
-    )
+    dialect = {"lenient": args.lenient, "multiline": not args.split_lines}
+    kind = args.kind or route(args.input)
+    options = dialect if kind == "csv" else {}
+    done = ingest(spark, args.input, write, args.dead_letters, kind, tuple(args.extension), **options)
     print(asdict(done))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,8 +61,8 @@ def sync_tools(tools: DataFrame, path: str) -> None:
 
 def write_converted(rows: Rows, path: str) -> None:
     """A file's good rows as Snappy Parquet, all columns text."""
-    clean = good_rows(rows)
-    named = clean.df.select(*clean.cells())
+    parts = [p.df.select(*p.cells()) for p in good_rows(rows).parts()]
+    named = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     named.write.mode("errorifexists").option("compression", "snappy").parquet(path)
 
 

@@ -6,9 +6,14 @@ whole number is not rewritten as an exponent on its way to the log table.
 
 from __future__ import annotations
 
+import csv
 import os
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,11 +35,17 @@ class Rows:
 
     headers: verbatim, in file order, repeats included.
     columns: the column of `df` behind each header.
+    others: rows of files with other headers.
     """
 
     df: DataFrame
     headers: list[str]
     columns: list[str]
+    others: tuple[Rows, ...] = ()
+
+    def parts(self) -> list[Rows]:
+        """These rows and those of every other header, each by itself."""
+        return [replace(self, others=()), *self.others]
 
     def cells(self) -> list[Column]:
         return [F.col(quoted(c)) for c in self.columns]
@@ -72,58 +83,112 @@ def read_logs(spark: SparkSession, path: str, kind: str | None = None, **options
     raise ValueError(f"unknown record kind: {kind}")
 
 
-def read_csv(
-    spark: SparkSession, path: str, lenient: bool = False, multiline: bool = False
-) -> Rows:
+def read_csv(spark: SparkSession, path: str, lenient: bool = False, multiline: bool = True) -> Rows:
     """CSV with a header row, comma, double quotes, a doubled quote as the escape.
 
     Rows with too few or too many cells are kept in `df` with their text in
     `_corrupt`; `good_rows` and `bad_rows` tell them apart. `lenient` drops white space
-    before a cell. `multiline` allows line breaks inside quotes, at the price that a
-    file is no longer split.
+    before a cell. Cells may hold line breaks in quotes, for which a file is read in one
+    task; with `multiline=False` large files are split, and lines whose quotes do not
+    close are kept as rows that do not fit.
 
-    Of several files, each must have the same header, which is checked while reading
-    unless two headers differ by case only or repeat; then columns go by position.
+    Each file has its own header: files of one header are read together, and further
+    headers are in `others`.
     """
-    options = {
-        "quote": '"',
-        "escape": '"',
-        "ignoreLeadingWhiteSpace": str(lenient).lower(),
-        "multiLine": str(multiline).lower(),
-    }
-    first = spark.read.options(**options).csv(path, header=False).first()
-    headers = [h or "" for h in first] if first else []
+    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": str(lenient).lower()}
+    groups = [
+        _csv_rows(spark, files, list(headers), options, multiline)
+        for headers, files in _files_by_header(spark, path, options).items()
+    ]
+    if not groups:
+        return Rows(spark.createDataFrame([], T.StructType([])), [], [])
+    return replace(groups[0], others=tuple(groups[1:]))
+
+
+def _files_by_header(spark: SparkSession, path: str, options: dict) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header. Of several files, one pass looks for the first lines."""
+    read_first = lambda file: spark.read.options(multiLine="true", **options).csv(file, header=False).first()
+    text = spark.read.option("lineSep", "\n").text(path)
+    files = sorted(text.inputFiles())
+    lines = {}
+    if len(files) > 1:
+        starts = text.select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("seq"),
+            "value",
+        ).filter("block = 0")
+        firsts = starts.groupBy("file").agg(F.min_by("value", "seq").alias("line")).collect()
+        lines = {r["file"]: r["line"].rstrip("\r") for r in firsts}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        line = lines.get(file)
+        if line and line.count('"') % 2 == 0:
+            cells = next(csv.reader([line], skipinitialspace=options["ignoreLeadingWhiteSpace"] == "true"))
+        else:  # the only file, or a header that goes on in the next line
+            first = read_first(file)
+            cells = [h or "" for h in first] if first else []
+        if cells:
+            groups.setdefault(tuple(cells), []).append(file)
+    return groups
+
+
+def _csv_rows(spark: SparkSession, files: list[str], headers: list[str], options: dict, multiline: bool) -> Rows:
     folded = {h.lower() for h in headers}
     by_name = len(folded) == len(headers) and not folded & {"", CORRUPT}
     names = headers if by_name else [f"_{i}" for i in range(len(headers))]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    df = (
-        spark.read.schema(schema)
-        .options(**options)
-        .csv(
-            path,
-            header=True,
-            enforceSchema=not by_name,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=CORRUPT,
-        )
+    keep = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if multiline:
+        # Only a reader of every column notices rows of the wrong width.
+        reader = spark.read.schema(schema).options(multiLine="true", columnPruning="false", **options, **keep)
+        return Rows(reader.csv(files, header=True, enforceSchema=True), headers, names)
+    # Whole lines but the header, without cells or quotes; then each line as a record.
+    lines = spark.read.schema("line string").csv(files, header=True, enforceSchema=True, sep="\x01", quote="", escape="")
+    ddl = ", ".join(f"{quoted(n)} string" for n in schema.fieldNames())
+    closed = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    parsed = F.from_csv("line", ddl, {**options, **keep})
+    rows = lines.withColumn("row", F.when(closed % 2 == 0, parsed)).select(
+        *(F.col("row")[n].alias(n) for n in names),
+        F.when(closed % 2 == 1, F.col("line")).otherwise(F.col("row")[CORRUPT]).alias(CORRUPT),
     )
-    rows = Rows(df, headers, names)
-    if not names:
-        return rows
-    # Only a reader that is asked for every column notices rows of the wrong width. This
-    # condition always holds, names every column and costs no more than a look at one.
-    any_cell = F.coalesce(*rows.cells(), F.lit(""))
-    return Rows(df.filter(any_cell >= F.lit("")), headers, names)
+    return Rows(rows, headers, names)
 
 
 def read_parquet(spark: SparkSession, path: str) -> Rows:
-    """Parquet with whatever columns it has, each as text; nested values as JSON."""
-    df = spark.read.parquet(path)
+    """Parquet with whatever columns it has, each as text; nested values as JSON.
+
+    The files of a folder may have different columns: all are read, and a cell that a file lacks
+    is empty. Where their types differ or names differ by case only, files are read by schema, each
+    further one in `others`; a schema is then looked up for every file.
+    """
+    # Names that differ by case only need a session that tells them apart.
+    exact = spark.newSession()
+    exact.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        names = exact.read.option("mergeSchema", "true").parquet(path).columns
+    except (PySparkException, Py4JJavaError):
+        return _parquet_by_schema(exact, path)
+    if len({n.lower() for n in names}) < len(names):
+        return _parquet_by_schema(exact, path)
+    df = spark.read.option("mergeSchema", "true").parquet(path)
     headers = df.columns
     return Rows(df.select(*[as_text(df, h) for h in headers]), headers, headers)
 
 
+def _parquet_by_schema(session: SparkSession, path: str) -> Rows:
+    files = session.read.format("text").load(path, pathGlobFilter="*.parquet").inputFiles()
+    groups: dict[str, list[str]] = {}
+    for file in sorted(files or [path]):
+        groups.setdefault(session.read.parquet(file).schema.json(), []).append(file)
+    parts = []
+    for same in groups.values():
+        df = session.read.parquet(*same)
+        headers, names = df.columns, [f"_{i}" for i in range(len(df.columns))]
+        parts.append(Rows(df.select(*[as_text(df, h).alias(n) for h, n in zip(headers, names)]), headers, names))
+    return replace(parts[0], others=tuple(parts[1:]))
+
+
 def as_text(df: DataFrame, column: str) -> Column:
     dtype = df.schema[column].dataType
     source = F.col(quoted(column))
@@ -133,28 +198,42 @@ def as_text(df: DataFrame, column: str) -> Column:
 
 
 def good_rows(rows: Rows) -> Rows:
-    if CORRUPT not in rows.df.columns:
-        return rows
-    return Rows(rows.df.filter(F.col(CORRUPT).isNull()), rows.headers, rows.columns)
+    good = [
+        replace(p, df=p.df.filter(F.col(CORRUPT).isNull() & _asked(p))) if CORRUPT in p.df.columns else p
+        for p in rows.parts()
+    ]
+    return replace(good[0], others=tuple(good[1:]))
 
 
 def bad_rows(rows: Rows) -> DataFrame:
     """The text of rows that do not fit the header, as `value`."""
+    return _union(rows, _bad)
+
+
+def _bad(rows: Rows) -> DataFrame:
     if CORRUPT not in rows.df.columns or not rows.columns:
         return rows.df.select(F.lit(None).cast("string").alias("value")).filter(F.lit(False))
-    return rows.df.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
+    return rows.df.filter(F.col(CORRUPT).isNotNull() & _asked(rows)).select(F.col(CORRUPT).alias("value"))
+
+
+def _asked(rows: Rows) -> Column:
+    """Always true: a reader refuses to be asked for nothing but the text of bad rows, hence the
+    first cell."""
+    return F.coalesce(*rows.cells()[:1], F.lit("")) >= F.lit("")
+
+
+def _union(rows: Rows, of: Callable[[Rows], DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, map(of, rows.parts()))
 
 
 def records(rows: Rows, name: str = "event") -> DataFrame:
     """Good rows as maps of header to text, without their empty cells."""
-    rows = good_rows(rows)
-    return rows.df.select(row_to_map(rows.headers, rows.cells()).alias(name))
+    return _union(good_rows(rows), lambda p: p.df.select(row_to_map(p.headers, p.cells()).alias(name)))
 
 
 def messages(rows: Rows, name: str = "value") -> DataFrame:
     """Good rows as JSON messages: sorted keys, no empty cells."""
-    rows = good_rows(rows)
-    return rows.df.select(row_to_json(rows.headers, rows.cells()).alias(name))
+    return _union(good_rows(rows), lambda p: p.df.select(row_to_json(p.headers, p.cells()).alias(name)))
 
 
 def filled(cell: Column) -> Column:

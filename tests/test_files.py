@@ -111,17 +111,53 @@ def test_csv_twin_headers(spark, tmp_path):
     assert report[5] == (6, "x.y", "xy", 1)
 
 
-def test_files_with_different_headers_are_an_error(spark, tmp_path):
+def test_each_file_has_its_own_header(spark, tmp_path):
     _file(tmp_path, "a.csv", "x,y\n1,2\n")
     _file(tmp_path, "b.csv", "y,x\n3,4\n")
-    with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
-        records(read_csv(spark, str(tmp_path))).collect()
+    _file(tmp_path, "c.csv", "URL,url,x\nU,u,5\nshort\n")
+    _file(tmp_path, "d.csv", "x,y\n6,7\n")
+    _file(tmp_path, "e.csv", '"two\nlines",y\n8,9\n')
+    _file(tmp_path, "f.csv", "")
+    rows = read_csv(spark, str(tmp_path))
+    got = sorted(json.dumps(r.event, sort_keys=True) for r in records(rows).collect())
+    want = [{"x": "1", "y": "2"}, {"y": "3", "x": "4"}, {"URL": "U", "url": "u", "x": "5"}, {"x": "6", "y": "7"}, {"two\nlines": "8", "y": "9"}]
+    assert got == sorted(json.dumps(w, sort_keys=True) for w in want)
+    assert len(rows.parts()) == 4 and [r.value for r in bad_rows(rows).collect()] == ["short"]
 
 
 def test_line_breaks_in_quotes(spark, tmp_path):
-    path = _file(tmp_path, "m.csv", 'a,b\n"1\n2",3\n')
-    events = records(read_csv(spark, path, multiline=True)).collect()
-    assert [r.event for r in events] == [{"a": "1\n2", "b": "3"}]
+    text = 'dstname,url,n\n"two\nlines",u,2\nx,"a ""q"" b",3\n"3\nmore\nlines",u,4\n'
+    path = _file(tmp_path, "m.csv", text)
+    events = [r.event for r in records(read_csv(spark, path)).collect()]
+    assert events == [
+        {"dstname": "two\nlines", "url": "u", "n": "2"},
+        {"dstname": "x", "url": 'a "q" b', "n": "3"},
+        {"dstname": "3\nmore\nlines", "url": "u", "n": "4"},
+    ]
+    split = read_csv(spark, path, multiline=False)
+    assert [r.event for r in records(split).collect()] == [events[1]]
+    assert [r.value for r in bad_rows(split).collect()] == ['"two', 'lines",u,2', '"3', "more", 'lines",u,4']
+
+
+def test_parquet_folders_keep_every_value(spark, tmp_path):
+    one, two, three = (str(tmp_path / n) for n in ("one", "two", "three"))
+    spark.sql("SELECT 'a' url, 1 n").coalesce(1).write.parquet(one)
+    spark.sql("SELECT 'b' url, 'deny' action").coalesce(1).write.mode("append").parquet(one)
+    assert {tuple(sorted(r.event.items())) for r in records(read_logs(spark, one, "parquet")).collect()} == {
+        (("n", "1"), ("url", "a")), (("action", "deny"), ("url", "b")),
+    }
+    spark.sql("SELECT 'a' url, 1 n").coalesce(1).write.parquet(two)
+    spark.sql("SELECT 'b' url, array('x') n").coalesce(1).write.mode("append").parquet(two)
+    assert {tuple(sorted(r.event.items())) for r in records(read_logs(spark, two, "parquet")).collect()} == {
+        (("n", "1"), ("url", "a")), (("n", '["x"]'), ("url", "b")),
+    }
+    twins = spark.newSession()
+    twins.conf.set("spark.sql.caseSensitive", "true")
+    twins.sql("SELECT 'a' url, 'A' URL").coalesce(1).write.parquet(three)
+    spark.sql("SELECT 'b' url").coalesce(1).write.mode("append").parquet(three)
+    assert {tuple(sorted(r.event.items())) for r in records(read_logs(spark, three, "parquet")).collect()} == {
+        (("URL", "A"), ("url", "a")), (("url", "b"),),
+    }
 
 
 def test_converted_csv_reads_back_the_same(spark, tmp_path):
