@@ -13,20 +13,45 @@ from pyspark.sql import DataFrame
 
 _COMPACT_DATE = r"^[0-9]{8}$"
 _EPOCH = r"^(?:[0-9]{10}(?:[.][0-9]+)?|[0-9]{13}|[0-9]{16}|[0-9]{19})$"
-_OFFSET = r"(Z|[+-][0-9]{2}(?::?[0-9]{2})?)(?: [A-Z]{1,5})?$"
+_ZONE = r"(?:Z|[+-][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2})?)?)"
+_OFFSET = rf"({_ZONE})(?: [A-Z]{{1,5}})?$"
 _ISO = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
     r"(?:[T ][0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?)?"
-    r"(?: ?(?:Z|[+-][0-9]{2}(?::?[0-9]{2})?)(?: [A-Z]{1,5})?)?)?$"
+    rf"(?: ?{_ZONE}(?: [A-Z]{{1,5}})?)?)?$"
+)
+# The other spellings of ISO 8601: compact or week dates, compact times, any separator.
+_WIDE = (
+    r"^([0-9]{4})(?:-?([0-9]{2})-?([0-9]{2})|-?W([0-9]{2})(?:-?([1-7]))?)"
+    r"(?:[^0-9]([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?"
+    rf"({_ZONE})?)?$"
 )
 
 # Columns `with_event_time` adds.
 INSTANT, DAY, CLOCK, BREACH = "_instant", "_day", "_clock", "_time_breach"
 
-# A compact date gets its dashes; other text stays as it is.
+def _wide(group: int) -> str:
+    return f"regexp_extract(_text, r'{_WIDE}', {group})"
+
+
+# The Monday of a year's first week is that of the week of January 4th.
+_FIRST_DAY = "make_date(try_cast({0} AS INT), 1, 4)".format(_wide(1))
+_WEEK_DATE = f"""CAST(date_add(date_sub({_FIRST_DAY}, weekday({_FIRST_DAY})),
+    7 * try_cast({_wide(4)} AS INT) - 8 + coalesce(try_cast({_wide(5)} AS INT), 1)) AS STRING)"""
+_WIDE_ZONE = f"""CASE WHEN length({_wide(10)}) = 7 AND NOT contains({_wide(10)}, ':') THEN
+    concat_ws(':', substr({_wide(10)}, 1, 3), substr({_wide(10)}, 4, 2), substr({_wide(10)}, 6, 2))
+    ELSE {_wide(10)} END"""
+
+# Every spelling in the extended form; other text stays as it is.
 _DASHED = f"""CASE WHEN _text RLIKE r'{_COMPACT_DATE}'
     THEN concat_ws('-', substr(_text, 1, 4), substr(_text, 5, 2), substr(_text, 7, 2))
-    ELSE _text END"""
+    WHEN _text RLIKE r'{_ISO}' OR NOT _text RLIKE r'{_WIDE}' THEN _text
+    ELSE concat(
+        CASE WHEN {_wide(4)} <> '' THEN {_WEEK_DATE}
+            ELSE concat_ws('-', {_wide(1)}, {_wide(2)}, {_wide(3)}) END,
+        CASE WHEN {_wide(6)} = '' THEN '' ELSE concat('T', {_wide(6)}, ':',
+            coalesce(nullif({_wide(7)}, ''), '00'), ':', coalesce(nullif({_wide(8)}, ''), '00'),
+            CASE WHEN {_wide(9)} <> '' THEN concat('.', {_wide(9)}) ELSE '' END, {_WIDE_ZONE}) END) END"""
 
 # Seconds (a fraction is fine), milliseconds, microseconds or nanoseconds since 1970,
 # told apart by their number of digits.

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-from dataclasses import asdict, dataclass
+import hashlib
+from dataclasses import asdict, astuple, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +24,14 @@ from logsieve.session import configure
 from logsieve.sinks.deadletters import write_dead_letters
 from logsieve.sinks.messages import Writer, publish, text_writer
 from logsieve.sinks.tables import compact_tools, expire_logs, sync_tools
-from logsieve.sources.files import Rows, bad_rows, messages, read_logs, route
+from logsieve.sources.files import Rows, bad_rows, file_batches, messages, read_logs, route
 from logsieve.sources.kafka import TopicOptions, read_topic, topic_writer
 from logsieve.sources.lines import block_offsets, with_line_numbers
 from logsieve.sources.tools import tools_loader
 from logsieve.streaming.enrichment import Outputs, start_enrichment
 
 MALFORMED_ROW = "malformed_row"
+BATCH_BYTES = 16 << 30
 
 
 @dataclass(frozen=True)
@@ -47,46 +49,57 @@ def ingest(
     dead_letters: str,
     kind: str | None = None,
     extensions: tuple[str, ...] = (),
+    batch_bytes: int = BATCH_BYTES,
     **options,
 ) -> Ingested:
     """Publish a log file's records and keep its rejects as dead letters.
 
     kind: record kind of a folder whose name does not tell it.
     extensions: CEF extension keys to publish besides src and dst.
+    batch_bytes: files are published in batches of about this size, one file at least; each
+    batch is tried again and kept as dead letters by itself.
     """
     kind = kind or route(path)
-    source = read_logs(spark, path, kind, **options)
-    if kind == "cef":
-        return _ingest_cef(source, write, dead_letters, extensions)
-    return _ingest_rows(source, write, dead_letters)
+    # The same input has the same name: repeated, it replaces its own dead letters.
+    name = hashlib.sha256(path.encode()).hexdigest()[:16]
+    total = Ingested(0, 0, 0, 0)
+    for batch_id, files in enumerate(file_batches(spark, path, batch_bytes)):
+        source = read_logs(spark, files, kind, **options)
+        if kind == "cef":
+            done = _ingest_cef(source, write, dead_letters, extensions, batch_id, name)
+        else:
+            done = _ingest_rows(source, write, dead_letters, batch_id, name)
+        total = Ingested(*(a + b for a, b in zip(astuple(total), astuple(done))))
+    return total
 
 
 def _ingest_cef(
-    lines: DataFrame, write: Writer, dead_letters: str, extensions: tuple[str, ...]
+    lines: DataFrame, write: Writer, dead_letters: str, extensions: tuple[str, ...], batch_id: int, name: str
 ) -> Ingested:
     parsed = parse_cef(lines)
     records = cef_records(parsed, extensions=extensions)
-    sent = publish(records.select(cef_json(records).alias("value")), write, dead_letters)
+    values = records.select(cef_json(records).alias("value"))
+    sent = publish(values, write, dead_letters, batch_id=batch_id, run=f"{name}-publish")
     # One row per split, read twice: to measure it and to join it.
     offsets = block_offsets(lines).persist()
     try:
         rejects = with_line_numbers(cef_rejects(parsed), offsets)
         failed = write_dead_letters(
-            rejects.select("error", "line", F.col("value").alias("raw")), dead_letters
+            rejects.select("error", "line", F.col("value").alias("raw")), dead_letters, batch_id, f"{name}-rejects"
         )
     finally:
         offsets.unpersist()
     return Ingested(failed + sent.published + sent.failed, failed, sent.published, sent.failed)
 
 
-def _ingest_rows(rows: Rows, write: Writer, dead_letters: str) -> Ingested:
-    sent = publish(messages(rows), write, dead_letters)
+def _ingest_rows(rows: Rows, write: Writer, dead_letters: str, batch_id: int, name: str) -> Ingested:
+    sent = publish(messages(rows), write, dead_letters, batch_id=batch_id, run=f"{name}-publish")
     malformed = bad_rows(rows).select(
         F.lit(MALFORMED_ROW).alias("error"),
         F.lit(None).cast("bigint").alias("line"),
         F.col("value").alias("raw"),
     )
-    failed = write_dead_letters(malformed, dead_letters)
+    failed = write_dead_letters(malformed, dead_letters, batch_id, f"{name}-rejects")
     return Ingested(failed + sent.published + sent.failed, failed, sent.published, sent.failed)
 
 
@@ -100,6 +113,7 @@ def _parser() -> argparse.ArgumentParser:
     one.add_argument("--extension", action="append", default=[], help="further CEF key to publish")
     one.add_argument("--lenient", action="store_true", help="drop white space before a CSV cell")
     one.add_argument("--split-lines", action="store_true", help="split large CSV files; no line breaks in cells")
+    one.add_argument("--batch-bytes", type=int, default=BATCH_BYTES, help="bytes of files published at once")
     one.add_argument("--dead-letters", required=True)
     out = one.add_mutually_exclusive_group(required=True)
     out.add_argument("--messages", help="folder for message files")
@@ -152,7 +166,7 @@ def _run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     dialect = {"lenient": args.lenient, "multiline": not args.split_lines}
     kind = args.kind or route(args.input)
     options = dialect if kind == "csv" else {}
-    done = ingest(spark, args.input, write, args.dead_letters, kind, tuple(args.extension), **options)
+    done = ingest(spark, args.input, write, args.dead_letters, kind, tuple(args.extension), args.batch_bytes, **options)
     print(asdict(done))
 
 

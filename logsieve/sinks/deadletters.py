@@ -27,4 +27,4 @@ def write_dead_letters(
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DEAD_LETTER_SCHEMA).json(path)
+    return spark.read.schema(DEAD_LETTER_SCHEMA).json(path).select("error", "line", "raw")

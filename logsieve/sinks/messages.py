@@ -39,9 +39,12 @@ def publish(
     dead_letters: str,
     attempts: int = 3,
     backoff: float = 0.25,
+    batch_id: int | None = None,
+    run: str = "publish",
 ) -> Published:
     """Hand the non-null values to the writer, trying again after a growing pause. After
-    the last failure the values are kept as dead letters.
+    the last failure the values are kept as dead letters, those of an earlier try of the
+    same run and batch being replaced.
 
     Delivery is at least once: an attempt that failed half-way may have published part.
     """
@@ -63,4 +66,4 @@ def publish(
         F.lit(None).cast("bigint").alias("line"),
         F.col("value").alias("raw"),
     )
-    return Published(0, write_dead_letters(lost, dead_letters), attempts)
+    return Published(0, write_dead_letters(lost, dead_letters, batch_id, run), attempts)

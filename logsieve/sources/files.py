@@ -70,7 +70,22 @@ def route_column(path: Column) -> Column:
     return F.coalesce(kind, F.lit("unsupported"))
 
 
-def read_logs(spark: SparkSession, path: str, kind: str | None = None, **options):
+def file_batches(spark: SparkSession, path: str, most: int) -> list[list[str]]:
+    """The files of a path in groups of at most `most` bytes, one file at least."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    batches, total = [], most + 1
+    for file in sorted(spark.read.text(path).inputFiles()):
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+        size = place.getFileSystem(hadoop).getFileStatus(place).getLen()
+        if total + size > most:
+            batches.append([])
+            total = 0
+        batches[-1].append(file)
+        total += size
+    return batches
+
+
+def read_logs(spark: SparkSession, path: str | list[str], kind: str | None = None, **options):
     """Read a log file, or a folder of them when `kind` is given: lines for cef,
     `Rows` for csv and parquet."""
     kind = kind or route(path)
@@ -162,24 +177,25 @@ def read_parquet(spark: SparkSession, path: str) -> Rows:
     is empty. Where their types differ or names differ by case only, files are read by schema, each
     further one in `others`; a schema is then looked up for every file.
     """
+    paths = [path] if isinstance(path, str) else path
     # Names that differ by case only need a session that tells them apart.
     exact = spark.newSession()
     exact.conf.set("spark.sql.caseSensitive", "true")
     try:
-        names = exact.read.option("mergeSchema", "true").parquet(path).columns
+        names = exact.read.option("mergeSchema", "true").parquet(*paths).columns
     except (PySparkException, Py4JJavaError):
         return _parquet_by_schema(exact, path)
     if len({n.lower() for n in names}) < len(names):
         return _parquet_by_schema(exact, path)
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    df = spark.read.option("mergeSchema", "true").parquet(*paths)
     headers = df.columns
     return Rows(df.select(*[as_text(df, h) for h in headers]), headers, headers)
 
 
 def _parquet_by_schema(session: SparkSession, path: str) -> Rows:
-    files = session.read.format("text").load(path, pathGlobFilter="*.parquet").inputFiles()
+    files = session.read.text(path).inputFiles()
     groups: dict[str, list[str]] = {}
-    for file in sorted(files or [path]):
+    for file in sorted(files):
         groups.setdefault(session.read.parquet(file).schema.json(), []).append(file)
     parts = []
     for same in groups.values():

@@ -236,3 +236,25 @@ def test_observed_counters(spark, tmp_path):
     parsed, seen = observe_parse(parse_cef(lines), F.col("error").isNotNull())
     parsed.filter("error IS NULL").write.format("noop").mode("overwrite").save()
     assert seen.get == {"processed": 4, "failed": 2}
+
+
+def test_publishing_fails_by_batches(spark, tmp_path):
+    """A writer that fails on one of three batches leaves only that one in the dead letters; repeated, the
+    job replaces them."""
+    for name in "abc":
+        _file(tmp_path, f"{name}.csv", f"k,n\n{name},1\n{name},2\nshort\n")
+    sent, dead = [], str(tmp_path / "dead")
+
+    def write(values):
+        got = [r.value for r in values.collect()]
+        if any('"b"' in v for v in got):
+            raise OSError("broker is away")
+        sent.extend(got)
+
+    for _ in range(2):
+        sent.clear()
+        done = ingest(spark, str(tmp_path / "*.csv"), write, dead, kind="csv", batch_bytes=20)
+        assert (done.processed, done.failed, done.published, done.publish_failed) == (9, 3, 4, 2)
+        letters = sorted((r.error, r.raw) for r in read_dead_letters(spark, dead).collect())
+        assert [e for e, _ in letters] == ["malformed_row"] * 3 + ["publish_failed"] * 2
+        assert all('"b"' in raw for e, raw in letters if e == "publish_failed") and len(sent) == 4

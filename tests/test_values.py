@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +164,30 @@ def test_normalized_headers(spark):
     values = ["Dst-Name 9 ", "header1_deviceVendor", "url"]
     rows = _column(spark, values).select("i", normalize_header(F.col("raw")).alias("x")).orderBy("i")
     assert [r.x for r in rows.collect()] == ["dstname9", "header1devicevendor", "url"]
+
+
+def test_iso_forms_as_the_language_reads_them(spark):
+    import random
+
+    from logsieve.functions.eventtime import BREACH, CLOCK, DAY, INSTANT, with_event_time
+
+    r = random.Random(8)
+    texts = ["20240102T030405Z", "2024-01-02T0304", "2024-W01-2", "2024W012", "2024-W01", "2024-01-02_03:04", "2020-W53-7T01:02:03+01:02:03", "20240102 0304-0530", "2024-01-02T03:04:05+010203"]
+    for _ in range(600):
+        day = dt.date(2000, 1, 1) + dt.timedelta(days=r.randrange(20_000))
+        year, week, weekday = day.isocalendar()
+        date = r.choice([day.isoformat(), day.strftime("%Y%m%d"), f"{year}-W{week:02}-{weekday}", f"{year}W{week:02}{weekday}"])
+        clock = f"{r.randrange(24):02}", f"{r.randrange(60):02}", f"{r.randrange(60):02}"
+        time = r.choice([":", ""]).join(clock[: r.randrange(1, 4)])
+        if len(time) in (6, 8):
+            time += r.choice(["", ".123", ",5", ".123456789"])
+        zone = r.choice(["", "Z", "+05", "-0530", "+05:30", "+01:02:03"])
+        texts.append(date + r.choice(["T", " ", "x"]) + time + zone if r.random() < 0.9 else date)
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for row in with_event_time(frame, "t").collect():
+        want = dt.datetime.fromisoformat(row.t)
+        at = want if want.tzinfo else want.replace(tzinfo=dt.timezone.utc)
+        assert row[BREACH] is None, row.t
+        assert (row[DAY], row[CLOCK]) == (want.date(), want.strftime("%H:%M:%S")), row.t
+        got = row[INSTANT].astimezone(dt.timezone.utc)
+        assert got == at.astimezone(dt.timezone.utc).replace(microsecond=at.microsecond // 1000 * 1000), row.t
