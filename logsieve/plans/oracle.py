@@ -309,12 +309,22 @@ def all_sql() -> dict[str, str]:
             SELECT strftime(time_bucket(INTERVAL 30 SECOND, ts), '%Y-%m-%d %H:%M:%S.%g')
                 AS window_start, count(*) AS n
             FROM events GROUP BY 1""",
+        "enriched_window_counts": f"""WITH {_MATCHED}
+            SELECT strftime(time_bucket(INTERVAL 30 SECOND, ts), '%Y-%m-%d %H:%M:%S.%g')
+                AS window_start, count(*) AS n
+            FROM matched GROUP BY 1""",
+        "csv_dialect": """
+            SELECT 'documents' AS source, doc_id AS id, text FROM documents
+            UNION ALL SELECT 'pages', page_id, html FROM pages""",
         "parse_metrics": """
             SELECT count(*) AS processed, count(*) FILTER (event_id % 17 = 0) AS failed FROM events""",
         "logs_by_month": """
             SELECT CAST(strftime(o_orderdate, '%Y%m') AS BIGINT) AS yyyymm, count(*) AS n
             FROM orders GROUP BY 1""",
         "retention": """
-            SELECT CAST(strftime(o_orderdate, '%Y%m') AS BIGINT) AS yyyymm, count(*) AS n
-            FROM orders WHERE o_orderdate >= DATE '2001-08-01' - INTERVAL 90 DAY GROUP BY 1""",
+            SELECT CASE WHEN o_orderkey % 10 <> 0 THEN CAST(strftime(o_orderdate, '%Y%m') AS BIGINT) END
+                AS yyyymm, count(*) AS n
+            FROM orders WHERE o_orderdate >= DATE '2001-08-01' - INTERVAL 90 DAY
+                AND (o_orderkey % 10 = 0 OR CAST(strftime(o_orderdate, '%Y%m') AS BIGINT) >= 200105)
+            GROUP BY 1""",
     }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from logsieve.functions import cef, coerce
 from logsieve.functions.eventtime import CLOCK, DAY, INSTANT, with_event_time
+from logsieve.functions.once import with_once
 from logsieve.functions.records import map_to_json
 from logsieve.functions.text import normalize_header
 from logsieve.operators import maintain, metrics
@@ -22,7 +23,7 @@ from logsieve.operators.projection import log_projection, violations
 from logsieve.plans import inputs
 from logsieve.schema import LOG_COLUMNS
 from logsieve.session import configure
-from logsieve.sources.files import read_parquet, records, route_column
+from logsieve.sources.files import csv_options, read_parquet, records, route_column
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -297,15 +298,38 @@ def window_counts(spark, sf_dir):
     return counts.select(_stamp(F.col("window_start")).alias("window_start"), "n")
 
 
+@query
+def enriched_window_counts(spark, sf_dir):
+    logs = log_projection(_enriched(spark, sf_dir))
+    counts = metrics.window_counts(logs, "eventtime")
+    return counts.select(_stamp(F.col("window_start")).alias("window_start"), "n")
+
+
+@query
+def csv_dialect(spark, sf_dir):
+    """Texts as CSV records and back."""
+    texts = inputs.table(spark, sf_dir, "documents").select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), "text")
+    pages = inputs.table(spark, sf_dir, "pages").select(F.lit("pages"), "page_id", "html")
+    lines = with_once(texts.union(pages), "line", F.to_csv(F.struct("source", "id", "text"), csv_options()))
+    read = F.from_csv("line", "source string, id string, text string", {**csv_options(), "mode": "FAILFAST"})
+    back = with_once(lines.select("line"), "row", read)
+    return back.select(
+        F.col("row.source").alias("source"), F.col("row.id").cast("bigint").alias("id"), F.col("row.text").alias("text")
+    )
+
+
 @query
 def parse_metrics(spark, sf_dir):
     return metrics.parse_metrics(_cef(spark, sf_dir), F.col("error").isNotNull())
 
 
-def _dated_logs(spark, sf_dir):
-    date = F.col("o_orderdate").cast("date")
+def _dated_logs(spark, sf_dir, undated=None):
+    inserted = F.col("o_orderdate").cast("date")
+    date = inserted if undated is None else F.when(~undated, inserted)
     return inputs.table(spark, sf_dir, "orders").select(
-        date.alias("date"), maintain.month_of(date).alias("yyyymm")
+        date.alias("date"),
+        maintain.month_of(date).alias("yyyymm"),
+        inserted.cast("timestamp").alias("_inserted_at"),
     )
 
 
@@ -316,5 +340,7 @@ def logs_by_month(spark, sf_dir):
 
 @query
 def retention(spark, sf_dir):
-    kept = maintain.retained(_dated_logs(spark, sf_dir), AS_OF)
+    """Every tenth row has no date and is as old as its insertion."""
+    dated = _dated_logs(spark, sf_dir, F.col("o_orderkey") % 10 == 0)
+    kept = maintain.retained(dated, AS_OF)
     return maintain.rows_by_month(kept).select(_long("yyyymm"), "n")

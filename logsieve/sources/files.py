@@ -98,6 +98,12 @@ def read_logs(spark: SparkSession, path: str | list[str], kind: str | None = Non
     raise ValueError(f"unknown record kind: {kind}")
 
 
+def csv_options(lenient: bool = False) -> dict[str, str]:
+    """The dialect of a record: comma, double quotes, a doubled quote as the escape."""
+    trim = str(lenient).lower()
+    return {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": trim, "ignoreTrailingWhiteSpace": "false"}
+
+
 def read_csv(spark: SparkSession, path: str, lenient: bool = False, multiline: bool = True) -> Rows:
     """CSV with a header row, comma, double quotes, a doubled quote as the escape.
 
@@ -110,7 +116,7 @@ def read_csv(spark: SparkSession, path: str, lenient: bool = False, multiline: b
     Each file has its own header: files of one header are read together, and further
     headers are in `others`.
     """
-    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": str(lenient).lower()}
+    options = csv_options(lenient)
     groups = [
         _csv_rows(spark, files, list(headers), options, multiline)
         for headers, files in _files_by_header(spark, path, options).items()
