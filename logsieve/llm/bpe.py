@@ -27,9 +27,11 @@ from pyspark.sql import types as T
 
 from logsieve.llm.base import lists, with_arrow_columns
 
-# Pieces kept per worker, and the longest that is kept.
-KEPT_PIECES = 300_000
+# Pieces kept per worker (twice, with the older half), and the longest that is kept.
+KEPT_PIECES = 150_000
 KEPT_CHARS = 64
+# Bytes of text that are encoded at once, about.
+SLICE = 3 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -92,6 +94,15 @@ def _ranges(characters: str) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs)
 
 
+def _is_latin(text: str) -> bool:
+    """Whether all characters are below U+0100, where no Unicode version adds any."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Codec:
     """What a worker holds: the tokenizer, the bytes of each id, and the pieces met so far."""
 
@@ -103,7 +114,8 @@ class Codec:
         self.tokenizer = Tokenizer.from_str(spec)
         self.findall = regex.compile(pattern).findall
         self.newer = re.compile(f"[{_ranges(newer)}]") if newer else None
-        self.kept: dict[str, tuple[int, ...]] = {}
+        self.kept: dict[str, bytes] = {}  # ids as int32
+        self.older: dict[str, bytes] = {}
         self.bytes = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, i in ranks.items():
             self.bytes[i] = token
@@ -111,28 +123,34 @@ class Codec:
         self.inside = np.array([bool(b) and 0x80 <= b[0] < 0xC0 for b in self.bytes], dtype=bool)
 
     def pieces(self, text: str) -> list[str]:
-        if self.newer is None or text.isascii() or not self.newer.search(text):
+        if self.newer is None or _is_latin(text) or not self.newer.search(text):
             return self.findall(text)
         ends = list(accumulate(map(len, self.findall(self.newer.sub("\ue000", text)))))
         return [text[a:b] for a, b in zip([0, *ends], ends)]
 
+    def learn(self, pieces: list[str]) -> None:
+        """Encode pieces that are not in the table, many at once; each is a word of its own."""
+        for at in range(0, len(pieces), 5_000):
+            part = pieces[at : at + 5_000]
+            encoded = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(encoded.ids, dtype=np.int32).tobytes()
+            ends = np.cumsum(np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(part))) * 4
+            ends = ends.tolist()
+            self.kept.update(zip(part, (ids[a:b] for a, b in zip([0, *ends], ends))))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.pieces(t) for t in texts]
-        new = list(set(chain.from_iterable(cut)) - self.kept.keys())
-        if len(self.kept) + len(new) > KEPT_PIECES:
-            self.kept.clear()
-            new = list(set(chain.from_iterable(cut)))
-        known = self.kept
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            known.update(zip(part, (tuple(e.ids) for e in encoded)))
-        out = [np.fromiter(chain.from_iterable(map(known.__getitem__, p)), dtype=np.int32) for p in cut]
+        if len(self.kept) > KEPT_PIECES:  # pieces that are met again come back from the older half
+            self.older, self.kept = self.kept, {}
+        new = set(chain.from_iterable(cut)) - self.kept.keys()
+        again = new & self.older.keys()
+        self.kept.update((p, self.older[p]) for p in again)
+        new = list(new - again)
+        self.learn(new)
+        out = [np.frombuffer(b"".join(map(self.kept.__getitem__, p)), dtype=np.int32) for p in cut]
         for piece in new:
             if len(piece) > KEPT_CHARS:
-                del known[piece]
-        if len(known) > KEPT_PIECES:
-            known.clear()
+                del self.kept[piece]
         return out
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,7 +211,7 @@ def encode(
 
         return function
 
-    return with_arrow_columns(docs, text, T.StructType(fields), make)
+    return with_arrow_columns(docs, text, T.StructType(fields), make, SLICE)
 
 
 def decode(
