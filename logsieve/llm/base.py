@@ -44,6 +44,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a written table that nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        spark = df.sparkSession
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def without(df: DataFrame, names: list[str]) -> list[str]:
     """The columns of ``df`` but for those named like one of ``names`` (in any case)."""
     taken = {n.lower() for n in names}
@@ -81,6 +90,7 @@ def with_arrow_columns(
     text: str,
     added: T.StructType,
     make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
+    most: int = SLICE_BYTES,
 ) -> DataFrame:
     """``df`` with columns that a function of the text column gives, slice by slice.
 
@@ -95,7 +105,7 @@ def with_arrow_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
         for batch in batches:
-            for part in slices(batch, text_sizes(batch.column(len(kept)))):
+            for part in slices(batch, text_sizes(batch.column(len(kept))), most):
                 arrays = function(part.column(len(kept)))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[: len(kept)], *arrays], names=[f.name for f in schema.fields]
