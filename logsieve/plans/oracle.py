@@ -29,11 +29,34 @@ matched AS (
 
 _CENTS = "CAST(floor(value * 100) AS BIGINT)"
 
-_TEXT_COLUMNS_ABSENT = (
-    "srcname srcintf srcintfrole srccountry srcmac devtype osname devid dstintf dstintfrole "
-    "dstcountry appcat apprisk policytype type subtype level tool_risk"
-).split()
-_NUMBERS_ABSENT = "dstport appid policyid rcvdbyte rcvdpkt sentpkt".split()
+_TEXT_COLUMNS_ABSENT = [
+    "srcname",
+    "srcintf",
+    "srcintfrole",
+    "srccountry",
+    "srcmac",
+    "devtype",
+    "osname",
+    "devid",
+    "dstintf",
+    "dstintfrole",
+    "dstcountry",
+    "appcat",
+    "apprisk",
+    "policytype",
+    "type",
+    "subtype",
+    "level",
+    "tool_risk",
+]
+_NUMBERS_ABSENT = [
+    "dstport",
+    "appid",
+    "policyid",
+    "rcvdbyte",
+    "rcvdpkt",
+    "sentpkt",
+]
 
 # What each event's text in `number_text` is worth, and whether it is whole.
 _WHOLE = "event_id * 1000 + user_id"

@@ -29,61 +29,52 @@ class LogColumn:
         return self.name.startswith("tool_")
 
 
-# The log table's columns in insert order, with their kind. The event
-# key has the column's name, except where a third word gives it.
-_LOG_TABLE = """
-    log_id uint64 logid
-    date date eventtime
-    eventtime instant
-    time clock
-    tool_id uint32
-    tool_name text
-    tool_url text
-    tool_score float
-    tool_risk text
-    tool_ai_category text
-    sessionid text
-    duration uint32
-    srcip ipv4
-    srcname text
-    srcport uint16
-    srcintf text
-    srcintfrole text
-    srccountry text
-    srcmac text
-    devtype text
-    osname text
-    devid text
-    dstip ipv4
-    dstname text
-    dstport uint16
-    dstintf text
-    dstintfrole text
-    dstcountry text
-    appcat text
-    app text
-    appid uint32
-    apprisk text
-    action text
-    policyid uint32
-    policytype text
-    type text
-    subtype text
-    level text
-    proto uint8
-    rcvdbyte uint64
-    rcvdpkt uint64
-    sentbyte uint64
-    sentpkt uint64
-"""
-
-
-def _log_columns() -> tuple[LogColumn, ...]:
-    rows = (line.split() for line in _LOG_TABLE.split("\n") if line.strip())
-    return tuple(LogColumn(r[0], r[1], r[2] if len(r) > 2 else r[0]) for r in rows)
-
-
-LOG_COLUMNS = _log_columns()
+# The log table's columns in insert order, with their kind and event key.
+LOG_COLUMNS = (
+    LogColumn("log_id", "uint64", "logid"),
+    LogColumn("date", "date", "eventtime"),
+    LogColumn("eventtime", "instant", "eventtime"),
+    LogColumn("time", "clock", "time"),
+    LogColumn("tool_id", "uint32", "tool_id"),
+    LogColumn("tool_name", "text", "tool_name"),
+    LogColumn("tool_url", "text", "tool_url"),
+    LogColumn("tool_score", "float", "tool_score"),
+    LogColumn("tool_risk", "text", "tool_risk"),
+    LogColumn("tool_ai_category", "text", "tool_ai_category"),
+    LogColumn("sessionid", "text", "sessionid"),
+    LogColumn("duration", "uint32", "duration"),
+    LogColumn("srcip", "ipv4", "srcip"),
+    LogColumn("srcname", "text", "srcname"),
+    LogColumn("srcport", "uint16", "srcport"),
+    LogColumn("srcintf", "text", "srcintf"),
+    LogColumn("srcintfrole", "text", "srcintfrole"),
+    LogColumn("srccountry", "text", "srccountry"),
+    LogColumn("srcmac", "text", "srcmac"),
+    LogColumn("devtype", "text", "devtype"),
+    LogColumn("osname", "text", "osname"),
+    LogColumn("devid", "text", "devid"),
+    LogColumn("dstip", "ipv4", "dstip"),
+    LogColumn("dstname", "text", "dstname"),
+    LogColumn("dstport", "uint16", "dstport"),
+    LogColumn("dstintf", "text", "dstintf"),
+    LogColumn("dstintfrole", "text", "dstintfrole"),
+    LogColumn("dstcountry", "text", "dstcountry"),
+    LogColumn("appcat", "text", "appcat"),
+    LogColumn("app", "text", "app"),
+    LogColumn("appid", "uint32", "appid"),
+    LogColumn("apprisk", "text", "apprisk"),
+    LogColumn("action", "text", "action"),
+    LogColumn("policyid", "uint32", "policyid"),
+    LogColumn("policytype", "text", "policytype"),
+    LogColumn("type", "text", "type"),
+    LogColumn("subtype", "text", "subtype"),
+    LogColumn("level", "text", "level"),
+    LogColumn("proto", "uint8", "proto"),
+    LogColumn("rcvdbyte", "uint64", "rcvdbyte"),
+    LogColumn("rcvdpkt", "uint64", "rcvdpkt"),
+    LogColumn("sentbyte", "uint64", "sentbyte"),
+    LogColumn("sentpkt", "uint64", "sentpkt"),
+)
 
 # Sink type of each unsigned width: the narrowest signed Spark type that holds it.
 UINT_TYPES = {
