@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsieve.llm.base import binary, columns, quoted, slices, text_sizes, with_arrow_columns, written
+from logsieve.llm.base import binary, columns, discard, quoted, slices, text_sizes, with_arrow_columns, written
 from logsieve.llm.components import components
 from logsieve.llm.shingles import mix, shingle_sets
 
@@ -321,7 +321,10 @@ def _components(source: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     )
     likely = written(_screen(pairs, reps, percent), "screened")
     ends = likely.select(F.explode(F.array("a", "b")).alias("rep"))
-    found = written(_confirm(likely, _sets(source, reps, ends), percent), "confirmed")
+    sets = _sets(source, reps, ends)
+    found = written(_confirm(likely, sets, percent), "confirmed")
+    for done in (sets, shared, likely):
+        discard(done)
     roots = components(found)
     homes = (
         members.join(pivots, "band")
@@ -340,6 +343,8 @@ def _components(source: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     )
     mixed_homes = several(seats.groupBy("home"), "root").select("home")
     placed = written(members.select("rep", "band").join(seats, "rep"), "placed")
+    for done in (members, weights, pivots):
+        discard(done)
     mixed_bands = (
         placed.groupBy("band")
         .agg(*(f(c).alias(f"{n}_{c}") for c in ("root", "home") for n, f in (("low", F.min), ("high", F.max))))
@@ -350,12 +355,17 @@ def _components(source: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     across = written(_across(apart, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
     together = seats.join(mixed_homes, "home").join(reps.select("rep", "signature", "n_shingles"), "rep")
     together = written(seats.join(_with_partners(together, percent), "rep"), "together")
+    for done in (placed, pairs, seats):
+        discard(done)
     wanted = across.select(F.explode(F.array("a", "b")).alias("rep")).union(together.select("rep"))
     sets = _sets(source, reps, wanted)
     more = _within(together, sets, percent).union(_confirm(across, sets, percent))
     more = written(more, "confirmed")
+    for done in (sets, across, together):
+        discard(done)
     if not more.isEmpty():
         roots = components(found.union(more))
+    discard(reps)
     whole = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     return table, whole.withColumn("root", F.coalesce("root", "rep"))
 
@@ -381,7 +391,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
     """One row of ``docs`` for each component, that of the smallest id (null last), and every row without
     words. Texts are shuffled once, by their sets."""
-    _, whole = _components(_source(docs, doc_id, text), percent)
+    table, whole = _components(_source(docs, doc_id, text), percent)
     last = F.lit((1 << 63) - 1)
     chosen = written(
         whole.groupBy("root")
@@ -389,6 +399,7 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
         .select("best.__key", F.col("best.set_key").alias("__set")),
         "chosen",
     )
+    discard(table)
     held = docs.select(
         F.col(quoted(text)).alias("__words"), F.struct(*columns(docs, docs.columns)).alias("__row"), F.coalesce(F.col(quoted(doc_id)), last).alias("__key")
     )
