@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Arrow batches are handled in slices of about this many bytes of text (one row at least).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,10 +28,10 @@ from pyspark.sql import types as T
 from logsieve.llm.base import lists, with_arrow_columns
 
 # Pieces kept per worker (twice, with the older half), and the longest that is kept.
-KEPT_PIECES = 150_000
+KEPT_PIECES = 120_000
 KEPT_CHARS = 64
 # Bytes of text that are encoded at once, about.
-SLICE = 3 << 20
+SLICE = 2 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -165,7 +165,7 @@ class Codec:
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _codec(spec: str, pattern: str, ranks: frozenset, newer: str) -> Codec:
     return Codec(spec, pattern, dict(ranks), newer)
 

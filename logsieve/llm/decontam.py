@@ -33,7 +33,7 @@ WINDOW = 10
 # Words of test items that one block holds, about.
 BLOCK_WORDS = 1_000_000
 # Bytes of text in a shard, about: a batch is cut where it holds more.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 # Occurrences that are located at once.
 LOCATED = 1 << 20
 
