@@ -39,8 +39,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that of the smallest id."""
-    return drop_near_duplicates(docs)
+    """One document of each group of similarity 0.8 or more stays, that of the smallest id."""
+    return drop_near_duplicates(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 A document's set is its distinct shingles of five words. Documents of equal sets form a class; all
 further work is on one representative per class. Its signature is one permutation of its shingles dealt
-to 192 buckets; a bucket keeps its smallest hash as 6 bits of leading zeros and 10 bits of mantissa.
-Bands of 6 registers make candidates: of two sets whose similarity is just the threshold of 0.85, all
-32 bands differ with a probability below 1e-6 (empty buckets agree, so small sets do better).
+to about 192 buckets; a bucket keeps its smallest hash as 6 bits of leading zeros and 10 bits of mantissa.
+Bands of registers make candidates. Their number and rows follow the threshold: of two sets whose similarity
+is just the threshold, all bands differ with a probability below 1e-6 (empty buckets agree, so small sets do
+better). For 0.85 these are 32 bands of 6 registers, for 0.80 38 bands of 5.
 
 1. In every band that two or more representatives share, all are compared with one of them: the one that
    shares the most bands with others, for the text from which a family of copies was made is the most
@@ -27,7 +28,9 @@ class, and dropping leaves one of them; an empty table gives no rows."""
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +43,9 @@ from logsieve.llm.components import components
 from logsieve.llm.shingles import mix, shingle_sets
 
 SHINGLE = 5
-BANDS, ROWS = 32, 6
-REGISTERS = BANDS * ROWS
+# Registers of a signature, more only for thresholds that need it, and the chance that no band of a pair meets.
+REGISTERS = 192
+MISS = 1e-6
 MANTISSA = 10
 EMPTY = 0xFFFF
 # Standard errors below the threshold at which an estimate rules a pair out.
@@ -53,13 +57,24 @@ COLUMNS = 4096
 COLLISIONS = 0.169919487159739093975315012348
 
 
-def registers(shingles: np.ndarray) -> np.ndarray:
-    """The signature of a set: leading zeros and mantissa of each bucket's smallest hash."""
-    smallest = np.full(REGISTERS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    bucket = ((shingles >> np.uint64(32)) * np.uint64(REGISTERS)) >> np.uint64(32)
+def layout(percent: int) -> tuple[int, int]:
+    """Bands and rows for a threshold: the longest bands of which REGISTERS hold enough for MISS."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent must be from 1 to 100, not {percent}")
+    if percent == 100:
+        return 1, REGISTERS
+    least = lambda rows: math.floor(math.log(MISS) / math.log1p(-((percent / 100) ** rows))) + 1
+    rows = max(takewhile(lambda r: least(r) * r <= REGISTERS, range(1, REGISTERS + 1)), default=1)
+    return max(REGISTERS // rows, least(rows)), rows
+
+
+def registers(shingles: np.ndarray, size: int = REGISTERS) -> np.ndarray:
+    """The signature of a set: leading zeros and mantissa of the smallest hash of each of ``size`` buckets."""
+    smallest = np.full(size, np.iinfo(np.uint64).max, dtype=np.uint64)
+    bucket = ((shingles >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)
     with np.errstate(over="ignore"):
         np.minimum.at(smallest, bucket.astype(np.int64), mix(shingles + np.uint64(0xD6E8FEB86659FD93)))
-    filled = np.zeros(REGISTERS, dtype=bool)
+    filled = np.zeros(size, dtype=bool)
     filled[bucket.astype(np.int64)] = True
     fraction, exponent = np.frexp(smallest.astype(np.float64))
     zeros = np.clip(64 - exponent, 0, 62).astype(np.uint16)
@@ -67,25 +82,26 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return np.where(filled, (zeros << MANTISSA) | bits, EMPTY).astype(np.uint16)
 
 
-def bands(signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A key for each band of each signature (rows of registers), and which bands are not empty."""
-    parts = signatures.reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
+def bands(signatures: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """A key for each band of ``rows`` registers of each signature, and which bands are not empty."""
+    parts = signatures.reshape(len(signatures), -1, rows).astype(np.uint64)
     with np.errstate(over="ignore"):
-        key = np.arange(BANDS, dtype=np.uint64)[None, :] + np.uint64(1)
-        for row in range(ROWS):
+        key = np.arange(parts.shape[1], dtype=np.uint64)[None, :] + np.uint64(1)
+        for row in range(rows):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, row])
     return key.view(np.int64), (parts != EMPTY).any(axis=2)
 
 
-def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int = 85) -> tuple[np.ndarray, np.ndarray]:
     """Estimated similarity of signatures (last axis: registers) of sets of n and m elements, less
-    the collisions expected by chance, and its standard error at the threshold's order."""
+    the collisions expected by chance, and its standard error at the threshold, 0.4 of one register at least."""
     used = ((a != EMPTY) | (b != EMPTY)).sum(axis=-1)
     equal = ((a == b) & (a != EMPTY)).sum(axis=-1)
     ratio = np.maximum(n, m) / np.maximum(1, np.minimum(n, m))
     chance = COLLISIONS * used * 2.0**-MANTISSA * 4 * ratio / (1 + ratio) ** 2
     used = np.maximum(used, 1)
-    return np.clip((equal - chance) / used, 0, 1), 0.4 / np.sqrt(used)
+    each = max(0.4, math.sqrt(percent / 100 * (1 - percent / 100)))
+    return np.clip((equal - chance) / used, 0, 1), each / np.sqrt(used)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -93,8 +109,8 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key, signature of every document (id, text)."""
+def _signatures(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, n_shingles, set_key, signature of ``size`` registers of every document (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,7 +121,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
                         part.column(0),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_key(s) for s in sets], pa.binary()),
-                        pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                        pa.array([registers(s, size).tobytes() if len(s) else None for s in sets], pa.binary()),
                     ],
                     names=["doc_id", "n_shingles", "set_key", "signature"],
                 )
@@ -113,15 +129,15 @@ def _signatures(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary")
 
 
-def _band_rows(reps: DataFrame) -> DataFrame:
+def _band_rows(reps: DataFrame, count: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 2000):
                 part = batch.slice(start, 2000)
-                own = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
-                key, used = bands(own)
-                rows = np.repeat(part.column(0).to_numpy(), used.sum(axis=1))
-                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(key[used])], names=["rep", "band"])
+                own = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint16).reshape(-1, count * rows)
+                key, used = bands(own, rows)
+                rep = np.repeat(part.column(0).to_numpy(), used.sum(axis=1))
+                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(key[used])], names=["rep", "band"])
 
     return reps.select("rep", "signature").mapInArrow(run, "rep long, band long")
 
@@ -139,10 +155,10 @@ def _screen(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             for start in range(0, batch.num_rows, 2000):
                 part = batch.slice(start, 2000)
                 left, right = (
-                    np.frombuffer(b"".join(part.column(i).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS) for i in (2, 3)
+                    np.frombuffer(b"".join(part.column(i).to_pylist()), dtype=np.uint16).reshape(part.num_rows, -1) for i in (2, 3)
                 )
                 n, m = part.column(4).to_numpy(), part.column(5).to_numpy()
-                near, error = estimate(left, right, n, m)
+                near, error = estimate(left, right, n, m, percent)
                 may = (near + MARGIN * error >= percent / 100) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
                 yield part.select(["a", "b"]).filter(pa.array(may))
 
@@ -177,7 +193,7 @@ def _likely_partners(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray
     """Of the rows of two blocks, each of the first and those of the second that are in another component
     and may reach the threshold by their registers (places in the table)."""
     rep, root, n, block = (table.column(c).to_numpy() for c in ("rep", "root", "n_shingles", "block"))
-    own = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+    own = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint16).reshape(table.num_rows, -1)
     i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
     right = np.flatnonzero(block == j)
     right = right[np.argsort(n[right], kind="stable")]
@@ -187,7 +203,7 @@ def _likely_partners(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray
         y = right[low : np.searchsorted(sizes, n[x] * 100 // percent, side="right")]
         y = y[(root[y] != root[x]) & ((rep[y] > rep[x]) | (i != j))]
         if len(y):
-            near, error = estimate(own[x][None, :], own[y], n[x], n[y])
+            near, error = estimate(own[x][None, :], own[y], n[x], n[y], percent)
             y = y[near + MARGIN * error >= percent / 100]
         if len(y):
             yield x, y
@@ -289,7 +305,8 @@ def _within(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _components(source: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """The signature of every row of ``source`` (__id, __text), and the classes of equal sets with the
     root of their component."""
-    table = written(_signatures(source).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    count, rows = layout(percent)
+    table = written(_signatures(source, count * rows).withColumn("row", F.monotonically_increasing_id()), "signatures")
     classes = written(
         table.where("set_key IS NOT NULL")
         .groupBy("set_key")
@@ -302,8 +319,8 @@ def _components(source: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         ),
         "representatives",
     )
-    shared = written(_band_rows(reps).groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "bands")
-    members = written(_band_rows(reps).join(shared, "band"), "members")
+    shared = written(_band_rows(reps, count, rows).groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "bands")
+    members = written(_band_rows(reps, count, rows).join(shared, "band"), "members")
     weights = written(members.groupBy("rep").agg(F.sum("n").alias("weight")), "weights")
     pivots = written(
         members.join(weights, "rep")

@@ -153,3 +153,25 @@ def test_a_loose_family(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = near_duplicates(docs).collect()
     assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in got), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("percent", [1, 5, 20, 50, 70, 80, 85, 90, 99])
+def test_bands_follow_the_threshold(percent):
+    from logsieve.llm.hyperminhash import layout
+
+    count, rows = layout(percent)
+    assert (1 - (percent / 100) ** rows) ** count < 1e-6
+    assert count * rows <= max(192, 14 / (percent / 100) + 1)
+
+
+def test_pairs_of_half_the_words(spark):
+    """Pairs just over a low threshold, most of which share no band of six registers."""
+    r = random.Random(12)
+    rows = []
+    for i in range(40):
+        words = [f"w{i}x{k}" for k in range(304)]
+        own = words[:-95] + [f"v{i}x{r.randrange(10**6)}" for _ in range(95)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(own))]
+    assert all(0.5 <= len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) < 0.53 for (_, a), (_, b) in zip(rows[::2], rows[1::2]))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=50).collect()
+    assert sorted((x.doc_id, x.component_id) for x in got) == [(d, d - d % 2) for d, _ in rows]

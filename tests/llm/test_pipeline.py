@@ -99,3 +99,13 @@ def test_odd_rows(spark):
             if name != "byte_bpe":
                 assert out.columns == docs.columns
         assert corpus_pipeline.near_duplicates(spark, docs, SF).count() == (4 if n else 0)
+
+
+def test_near_copies_below_the_threshold_of_op10(spark):
+    """Of sets of similarity 0.82 the stage keeps one."""
+    words = [f"w{i}" for i in range(304)]
+    other = words[:-30] + [f"v{i}" for i in range(30)]
+    third = words[:-40] + [f"u{i}" for i in range(40)]
+    rows = [(1, " ".join(words), "en", "s", 0), (2, " ".join(other), "en", "s", 0), (3, " ".join(third), "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == [1, 3]
