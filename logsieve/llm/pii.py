@@ -3,8 +3,9 @@
 1. Base rules find emails, IP addresses, payment cards and phone numbers, and keep what passes its check.
 2. Generators of high recall propose further spans, overlapping as they may: any long number, masked
    emails, account numbers.
-3. Each span gets features of its format and context (not the checks of step 1), and gradient-boosted
-   trees learn from a bounded sample which of them the rules confirm.
+3. Each span gets features of its format and context (not the checks), and gradient-boosted trees learn from
+   a bounded sample which of them are confirmed: a masked email by being a valid address once unmasked, an
+   account number by its check digits (IBAN, modulo 97), any other span by the rules of step 1.
 4. All spans' scores are summed into bins per generator; a threshold is where the spans above it are
    confirmed with the wanted precision. Spans above it that overlap no base span are added.
 
@@ -42,6 +43,8 @@ GENERATORS = {
     "masked": rf"(?<!{_LOCAL}){_LOCAL}++ ?[\[(](?i:at)[\])] ?[A-Za-z0-9-]++(?:(?:\.| ?[\[(](?i:dot)[\])] ?)[A-Za-z0-9-]++)*+",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,}+[A-Z0-9]{0,3}",
 }
+# Generators that are confirmed by a check of their own, as base rules do not meet what they propose.
+CHECKED = ["masked", "account"]
 # Words before a span that tell of personal data.
 CUES = "mail|contact|phone|call|tel|fax|card|visa|credit|account|iban|ssn|passport|address|ip|host"
 CONTEXT = 24
@@ -77,6 +80,7 @@ def _found(df: DataFrame, kind: str, pattern: str, when: Column) -> DataFrame:
             end.alias("end"),
             m.alias("text"),
             _valid(kind, m).alias("base"),
+            _checked(kind, m).alias("checked"),
         )
 
     return with_once(df, f"c_{kind}", F.transform("m", place)).drop("m", "n", "s")
@@ -113,7 +117,27 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(False)
 
 
+def _mod97(code: Column) -> Column:
+    """The remainder of an account number, its first four characters put last and letters read as 10 to 35."""
+    value = lambda c: F.instr(F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"), c) - 1
+    turned = F.concat(F.substring(code, 5, 1 << 30), F.substring(code, 1, 4))
+    return F.aggregate(F.split(turned, ""), F.lit(0), lambda a, c: (a * F.when(value(c) > 9, 100).otherwise(10) + value(c)) % 97)
+
+
+def _checked(kind: str, m: Column) -> Column:
+    """Whether a span of a generator in CHECKED passes the generator's own check."""
+    if kind == "masked":
+        plain = F.regexp_replace(F.regexp_replace(m, r" ?[\[(](?i:at)[\])] ?", "@"), r" ?[\[(](?i:dot)[\])] ?", ".")
+        label = "[A-Za-z0-9](?:[A-Za-z0-9-]*+(?<!-))?"
+        return plain.rlike(rf"^(?!\.){_LOCAL}++(?<!\.)@(?:{label}\.)++[A-Za-z]{{2,}}$") & ~plain.contains("..")
+    if kind == "account":
+        code = F.regexp_replace(m, " ", "")
+        return F.when(F.length(code).between(15, 34), _mod97(code) == 1).otherwise(False)
+    return F.lit(False)
+
+
 FEATURES = [
+    "generator",
     "length",
     "digits",
     "letters",
@@ -131,8 +155,8 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """row (struct of ``keep``) and found: an array of (c: span, covered: it overlaps a base span, f:
-    features)."""
+    """row (struct of ``keep``) and found: an array of (c: span, covered: it overlaps a base span, right: it is
+    confirmed, f: features)."""
     whole = F.coalesce(F.col(quoted(text)), F.lit(""))
     df = docs.select(F.struct(*columns(docs, keep), F.lit(0).alias("__")).alias("row"), whole.alias("text"))
     df = with_once(df, "any", F.col("text").rlike("[0-9@\\[(]"))
@@ -155,7 +179,8 @@ def candidates(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     covered = "exists(base, b -> b.start < c.end AND c.start < b.end)"
     df = with_once(df, "found", F.expr(f"transform(proposed, c -> struct(c, {covered} AS covered))"))
     df = df.select("row", "text", "found")
-    shaped = f"transform(found, x -> struct(x.c AS c, x.covered AS covered, {_features()} AS f))"
+    right = f"if(x.c.kind IN ({', '.join(map(repr, CHECKED))}), x.c.checked, x.covered)"
+    shaped = f"transform(found, x -> struct(x.c AS c, x.covered AS covered, {right} AS right, {_features()} AS f))"
     return with_once(df, "found", F.expr(shaped)).drop("text")
 
 
@@ -163,7 +188,9 @@ def _features() -> str:
     """Format of a candidate x.c, and what stands around it in the text, as SQL."""
     count = lambda p: f"CAST(regexp_count(x.c.text, '{p}') AS double)"
     letter = r"[\\p{L}\\p{N}]"
+    kinds = ", ".join(map(repr, [*KINDS, *GENERATORS]))
     values = {
+        "generator": f"CAST(array_position(array({kinds}), x.c.kind) AS double)",
         "length": "CAST(length(x.c.text) AS double)",
         "digits": count("[0-9]"),
         "letters": count("[A-Za-z]"),
@@ -196,7 +223,7 @@ def _tree(lines: list[str]) -> str:
 def fit(table: DataFrame) -> str | None:
     """The score of a candidate x as SQL, from trees fitted on a bounded sample; None if there is too
     little to learn from."""
-    every = table.select(F.explode("found").alias("x")).select(F.col("x.covered").cast("double").alias("label"), "x.f.*")
+    every = table.select(F.explode("found").alias("x")).select(F.col("x.right").cast("double").alias("label"), "x.f.*")
     sample = written(every.orderBy(F.xxhash64(*FEATURES), "label").limit(SAMPLE_ROWS), "pii-sample")
     seen = sample.agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).first()
     if seen["n"] < LEAST_SAMPLE or seen["low"] == seen["high"]:
@@ -214,7 +241,7 @@ def thresholds(scored: DataFrame) -> dict[str, float]:
     rows = (
         scored.select(F.explode("scored").alias("x"))
         .groupBy(F.col("x.c.kind").alias("kind"), F.floor(F.col("x.score") * BINS).cast("int").alias("bin"))
-        .agg(F.count("*").alias("n"), F.sum(F.col("x.covered").cast("long")).alias("right"))
+        .agg(F.count("*").alias("n"), F.sum(F.col("x.right").cast("long")).alias("right"))
         .collect()
     )
     limits: dict[str, float] = {}
@@ -238,7 +265,7 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
         scored = table.withColumn("scored", F.col("found"))
     else:
         scored = table.withColumn(
-            "scored", F.expr(f"transform(found, x -> struct(x.c AS c, x.covered AS covered, {score} AS score))")
+            "scored", F.expr(f"transform(found, x -> struct(x.c AS c, x.covered AS covered, x.right AS right, {score} AS score))")
         )
         limits = thresholds(scored)
         added = " OR ".join(f"(x.c.kind = '{k}' AND x.score >= {v}D)" for k, v in sorted(limits.items())) or "false"

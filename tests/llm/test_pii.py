@@ -88,3 +88,21 @@ def test_learned_spans(spark):
 
 def test_empty(spark):
     assert find_pii(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def iban(r):
+    body = "".join(r.choice("0123456789") for _ in range(18))
+    n = int(body + "131400") % 97
+    return f"DE{98 - n:02d}{body}"
+
+
+def test_generators_with_checks_of_their_own(spark):
+    """Masked emails and account numbers overlap no base span, and are added."""
+    r = random.Random(3)
+    rows = [(i, f"write to user{i} [at] mail{i % 7} [dot] example [dot] com soon") for i in range(200)]
+    rows += [(i, f"transfer to account {iban(r)} please") for i in range(200, 400)]
+    rows += [(i, f"reach a@b{i}.org or meet me (at) noon, item {r.randrange(10**7, 10**8)}x") for i in range(400, 800)]
+    got = {x.doc_id: [(s.kind, s.start, s.base) for s in x.spans] for x in find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(("masked", 9, False) in got[i] for i in range(200))
+    assert all(("account", 20, False) in got[i] for i in range(200, 400))
+    assert all([k for k, _, _ in got[i]] == ["email"] for i in range(400, 800))
