@@ -48,7 +48,8 @@ CHECKED = ["masked", "account"]
 # Words before a span that tell of personal data.
 CUES = "mail|contact|phone|call|tel|fax|card|visa|credit|account|iban|ssn|passport|address|ip|host"
 CONTEXT = 24
-# Candidates that the trees are fitted on, at most; all others are only scored.
+# Distinct candidates (features and label) that the trees are fitted on, about, with their numbers as weights;
+# all others are only scored.
 SAMPLE_ROWS = 20_000
 LEAST_SAMPLE = 50
 TREES, DEPTH = 15, 3
@@ -220,16 +221,39 @@ def _tree(lines: list[str]) -> str:
     return f"IF(x.f.`{FEATURES[int(feature)]}` <= {float(limit)!r}D, {low}, {_tree(lines)})"
 
 
+def shares(sizes: dict, most: int) -> dict:
+    """The share of each group that a sample of ``most`` rows takes: small groups whole, the others the
+    same number of rows each."""
+    out, left = {}, most
+    for i, (group, n) in enumerate(sorted(sizes.items(), key=lambda g: g[1])):
+        take = min(n, left / (len(sizes) - i))
+        out[group], left = take / n, left - take
+    return out
+
+
+def sampled(table: DataFrame) -> DataFrame | None:
+    """Distinct label and FEATURES, drawn by a hash from each generator and label, and the weight of each: how
+    many candidates it stands for. None if there is too little to learn from."""
+    every = table.select(F.explode("found").alias("x")).select(F.col("x.right").cast("double").alias("label"), "x.f.*")
+    distinct = written(every.groupBy("label", *FEATURES).agg(F.count("*").alias("copies")), "pii-vectors")
+    groups = distinct.groupBy("generator", "label").agg(F.count("*").alias("n"), F.sum("copies").alias("copies")).collect()
+    if sum(g["copies"] for g in groups) < LEAST_SAMPLE or len({g["label"] for g in groups}) < 2:
+        return None
+    share = shares({(g["generator"], g["label"]): g["n"] for g in groups}, SAMPLE_ROWS)
+    own = "CASE " + " ".join(f"WHEN generator = {g!r}D AND label = {y!r}D THEN {s!r}D" for (g, y), s in share.items()) + " END"
+    place = F.pmod(F.xxhash64("label", *FEATURES), F.lit(1 << 30)) / (1 << 30)
+    drawn = distinct.withColumn("share", F.expr(own)).where(place < F.col("share"))
+    return written(drawn.withColumn("weight", F.col("copies") / F.col("share")).drop("copies", "share"), "pii-sample")
+
+
 def fit(table: DataFrame) -> str | None:
     """The score of a candidate x as SQL, from trees fitted on a bounded sample; None if there is too
     little to learn from."""
-    every = table.select(F.explode("found").alias("x")).select(F.col("x.right").cast("double").alias("label"), "x.f.*")
-    sample = written(every.orderBy(F.xxhash64(*FEATURES), "label").limit(SAMPLE_ROWS), "pii-sample")
-    seen = sample.agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).first()
-    if seen["n"] < LEAST_SAMPLE or seen["low"] == seen["high"]:
+    sample = sampled(table)
+    if sample is None:
         return None
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample).select("features", "label")
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=5).fit(vectors)
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample).select("features", "label", "weight")
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=5, weightCol="weight").fit(vectors)
     trees = [_tree(t.toDebugString.strip().split("\n")[1:]) for t in model.trees]
     margin = " + ".join(f"{float(w)!r}D * {t}" for w, t in zip(model.treeWeights, trees))
     return f"1 / (1 + exp(-2 * ({margin})))"

@@ -106,3 +106,20 @@ def test_generators_with_checks_of_their_own(spark):
     assert all(("masked", 9, False) in got[i] for i in range(200))
     assert all(("account", 20, False) in got[i] for i in range(200, 400))
     assert all([k for k, _, _ in got[i]] == ["email"] for i in range(400, 800))
+
+
+def test_the_sample_is_not_taken_by_one_hot_vector(spark, monkeypatch):
+    """A vector that is repeated often counts by its weight and leaves room for others of either label."""
+    from logsieve.llm import pii
+
+    monkeypatch.setattr(pii, "SAMPLE_ROWS", 40)
+    r = random.Random(4)
+    texts = ["item 1234567x here"] * 500 + ["pay with card 4111111111111111 now"] * 300
+    texts += [f"mail {'a' * r.randrange(1, 30)}@b{'c' * r.randrange(9)}.org" for _ in range(100)]
+    table = pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "text", ["doc_id"]).cache()
+    found = table.selectExpr("explode(found) AS x").selectExpr("x.f.generator AS g", "x.right AS y").collect()
+    sample = pii.sampled(table).collect()
+    assert len({(s.label, *(s[f] for f in pii.FEATURES)) for s in sample}) == len(sample) <= 60
+    assert {(s.generator, bool(s.label)) for s in sample} == {tuple(f) for f in found}
+    hot = [s for s in sample if s.generator == pii.KINDS.index("card") + 1 and s.label]
+    assert sum(s.weight for s in hot) == 300
