@@ -137,6 +137,40 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2,048 ids."""
+    import public_tokenizers
+
+    from logsieve.llm.packing import pack, read_spec
+
+    spec = read_spec(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = pack(read(spark, sf_dir, "documents"), spec, end=1, length=2048)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the best positives of every fiftieth vector."""
+    from logsieve.llm.negatives import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(
+        read(spark, sf_dir, "embeddings"),
+        row_id=F.col("vec_id"),
+        label=label,
+        vector=F.col("embedding"),
+        anchor=F.col("id") % 50 == 0,
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations by their common first turns."""
+    from logsieve.llm.prefixtrie import conversation_trie
+
+    return conversation_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_byte_bpe": op2_byte_bpe,
@@ -148,6 +182,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_packing": op11_packing,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -206,10 +243,62 @@ component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM component LEFT JOIN size USING (doc_id)"""
 
+_FINITE = "embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))"
+_OP12_SQL = f"""
+WITH labelled AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_FINITE}),
+met AS MATERIALIZED (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+    FROM labelled a JOIN labelled b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positive AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM met WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN met USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER best <= 3"""
+
+# CRC-32, a byte at a time and a bit at a time; 3988292384 is its polynomial.
+_CRC_BYTE = "list_reduce(list_prepend(xor(c, b), range(8)), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+_CRC32 = f"xor(list_reduce(list_prepend(4294967295, list_transform(range(len(s)), lambda i: CAST(ord(s[i + 1]) AS BIGINT))), lambda c, b: {_CRC_BYTE}), 4294967295)"
+_OP13_SQL = f"""
+WITH turn AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+keyed AS (
+    SELECT conv_id, turn, substr(sha256(octet_length(encode(role)) || ':' || role || text), 1, 32) AS key, octet_length(encode(text)) AS size
+    FROM turn),
+conv AS (SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, list(struct_pack(k := key, z := size) ORDER BY turn NULLS FIRST, key) AS own FROM keyed GROUP BY conv_id),
+headed AS (SELECT conv_id, own, {_CRC32} % 9 AS h FROM conv),
+whole AS (
+    SELECT c.conv_id, list_concat(coalesce(b.own, [])[1 : c.h], c.own[c.h + 1 :]) AS turns
+    FROM headed c LEFT JOIN headed b ON b.conv_id = c.conv_id - c.conv_id % 5),
+member AS (SELECT conv_id, len(turns) AS n, turns, unnest(range(len(turns) + 1)) AS depth FROM whole),
+path AS (
+    SELECT conv_id, depth, depth = n AS ended, array_to_string(list_transform(turns[1 : depth], lambda t: t.k), '') AS node,
+        CASE WHEN depth > 0 THEN array_to_string(list_transform(turns[1 : depth - 1], lambda t: t.k), '') END AS parent,
+        CASE WHEN depth > 0 THEN turns[depth].z ELSE 0 END AS size FROM member),
+node AS (
+    SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, any_value(size) AS size, count(*) AS n, min(conv_id) AS least,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '')) AS ends
+    FROM path GROUP BY node),
+kids AS (SELECT parent, count(*) AS n FROM node GROUP BY parent),
+below AS (
+    SELECT substr(a.node, 1, 32 * up) AS node, sum((a.n - 1) * a.size) AS saved, count_if(k.n IS NULL) AS leaves
+    FROM (SELECT *, unnest(range(depth + 1)) AS up FROM node) a LEFT JOIN kids k ON k.parent = a.node GROUP BY 1)
+SELECT a.least AS conv_id, CAST(a.depth AS BIGINT) AS depth, p.least AS parent_conv_id, CAST(a.n AS BIGINT) AS n_convs,
+    CAST(coalesce(k.n, 0) AS BIGINT) AS n_children, CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens,
+    a.ends AS ends_sha256
+FROM node a JOIN below b ON a.node = b.node LEFT JOIN kids k ON k.parent = a.node LEFT JOIN node p ON p.node = a.parent"""
+
 # The others learn a model or need tokenizers: tests hold them against brute force, exact round trips and
 # held-out accuracy.
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": _OP1_SQL,
     "op7_warc": _OP7_SQL,
     "op10_near_duplicates": _OP10_SQL,
+    "op12_hard_negatives": _OP12_SQL,
+    "op13_conversation_trie": _OP13_SQL,
 }
