@@ -12,7 +12,8 @@ two, so that nothing is padded at all. A task holds no more than its open window
 shuffled, and a task that is lost is packed again by itself.
 
 Texts are tokenized word by word (no token of this kind of vocabulary crosses white space), each word once per
-worker while it stays in a bounded table.
+worker while it stays in a bounded table. A new word of Latin letters, and perhaps punctuation behind them, is cut and
+lower-cased here and goes straight to the tokenizer's model; all others go through the whole tokenizer.
 
 Defined results: a null or empty text is its end id alone; repeated rows and ties are packed each by itself; an
 empty table gives no rows; ids of documents may be null and of any type; other columns are not read; a text of any
@@ -36,14 +37,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsieve.llm.base import quoted, slices, text_sizes
+from logsieve.llm.bpe import byte_characters
 
 LENGTH = 2048
 # Windows that a task holds open at once.
 OPEN = 256
 # Words kept per worker (twice, with the older half), and the longest that is kept.
-KEPT_WORDS = 60_000
+KEPT_WORDS = 200_000
 KEPT_CHARS = 64
 SLICE = 2 << 20
+# Letters that are composed already and whose lower case does not depend on others, and punctuation that makes
+# one token of its own run (not the apostrophe).
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įĲ-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 # What Python takes for white space and the tokenizer does not.
 _NO_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -57,12 +62,34 @@ class Words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core already
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.letters = dict(enumerate(byte_characters()))
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.bases: dict[str, bytes] = {}
 
     def learn(self, words: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        self.kept.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(words, encoded))
+        odd = []
+        for word in words:
+            plain = _PLAIN.fullmatch(word)
+            if plain:
+                self.kept[word] = self._base(plain[1].lower()) + (self._base(plain[2]) if plain[2] else b"")
+            else:
+                odd.append(word)
+        encoded = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
+        self.kept.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(odd, encoded))
+
+    def _base(self, word: str) -> bytes:
+        """The ids of what the tokenizer does not cut any further."""
+        ids = self.bases.get(word)
+        if ids is None:
+            letters = word.encode().decode("latin-1").translate(self.letters)
+            ids = np.array([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes()
+            if len(self.bases) >= KEPT_WORDS:
+                self.bases.clear()
+            if len(word) <= KEPT_CHARS:
+                self.bases[word] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [[t] if _NO_SPACE.search(t) else t.split() for t in texts]

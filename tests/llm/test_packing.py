@@ -1,0 +1,110 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from logsieve.llm.packing import LENGTH, Packer, Piece, Words, pack, read_spec
+
+SPEC = read_spec(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    own = Tokenizer.from_str(SPEC)
+    own.encode_special_tokens = True
+    return own
+
+
+def test_ids_are_the_tokenizers(tokenizer):
+    spaces = [chr(c) for c in (9, 10, 11, 12, 13, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)]
+    texts = [f"One{c}two{c}{c}THREE's" for c in spaces]
+    texts += ["", " ", "e ́x", "İstanbul ΑΣ ΑΣ.", "<|endoftext|> a<|startoftext|>b", "x" * 5000, "日本 語テキスト　です 12 34", "don't  we'll\n\n", "가 ᆨ"]
+    texts += [f"{a}{chr(c)}{b}" for c in range(0x21, 0x250) for a in ("Ab", "é") for b in ("", "c", "...", "'s")]
+    texts += [f"word{chr(a)}{chr(b)} x" for a in range(0x21, 0x80) for b in range(0x21, 0x80, 3)]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    words = Words(SPEC)
+    for _ in range(2):  # the second time from the table
+        assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts)] == want
+
+
+def test_level_has_the_least_sum_of_squares():
+    r = random.Random(5)
+    for _ in range(40):
+        packer = Packer(length=20, most=10**6)
+        for _ in range(60):
+            size = r.randrange(1, 20)
+            cost = {}
+            for level in [0, *np.flatnonzero(packer.counts[1:]) + 1]:
+                if level + size <= 20:
+                    after = packer.counts.copy()
+                    after[level] -= level > 0
+                    after[level + size] += level + size < 20
+                    cost[int(level)] = int((after**2).sum())
+            best = max(k for k, v in cost.items() if v == min(cost.values()))
+            assert packer.level(size) == best
+            packer.place(Piece(0, size, 0, np.zeros(size, "<u4")))
+            assert packer.n_open == packer.counts.sum() == sum(map(len, packer.windows))
+
+
+def check(pieces, want):
+    """Every document's ids in order, sequences without gaps; returns the share of padding."""
+    docs, sequences = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        assert p.length * 4 == len(p.ids) and p.length > 0
+        docs[p.doc_id].append(p)
+        sequences[p.sequence_id].append(p)
+    assert set(docs) == set(want)
+    for key, parts in docs.items():
+        parts.sort(key=lambda p: p.start)
+        assert [p.start for p in parts] == np.cumsum([0, *(p.length for p in parts)])[:-1].tolist()
+        assert np.frombuffer(b"".join(p.ids for p in parts), "<u4").tolist() == want[key]
+        assert {p.doc_tokens for p in parts} == {len(want[key])}
+    padding = 0
+    for parts in sequences.values():
+        parts.sort(key=lambda p: p.offset)
+        assert [p.offset for p in parts] == np.cumsum([0, *(p.length for p in parts)])[:-1].tolist()
+        fill = sum(p.length for p in parts)
+        assert fill <= LENGTH
+        padding += 0 if fill & (fill - 1) == 0 else LENGTH - fill
+    return padding
+
+
+def test_whole_table(spark, tokenizer):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(3)
+    rows = docs.select("doc_id", "text").collect()
+    want = {r.doc_id: [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1] for r in rows}
+    pieces = pack(docs, SPEC).collect()
+    assert check(pieces, want) == 0
+    # Documents stay whole but for what is longer than a sequence and what is poured together in the end.
+    cut = defaultdict(int)
+    for p in pieces:
+        cut[p.doc_id] += 1
+    assert sum(n > -(-len(want[k]) // LENGTH) for k, n in cut.items()) < len(want) / 5
+
+
+def test_copies_that_never_fit_together(spark):
+    docs = spark.range(0, 2000, 1, 2).select(F.col("id").alias("doc_id"), F.lit("word " * 1500).alias("text"))
+    pieces = pack(docs, SPEC).collect()
+    length = {p.doc_tokens for p in pieces}
+    ids = np.frombuffer(Words(SPEC).encode(["word " * 1500])[0], "<u4").tolist() + [1]
+    assert length == {1501} and check(pieces, dict.fromkeys(range(2000), ids)) == 0
+    packer = Packer(LENGTH, 8)
+    for i in range(100):
+        packer.place(Piece(i, 1500, 0, np.zeros(1500, "<u4")))
+        assert packer.n_open <= 9
+    packer.close()
+    assert packer.n_open == 0 and sum(len(p.ids) for s in packer.done for p in s) == 150_000
+
+
+def test_odd_rows(spark, tokenizer):
+    long = "word1 été " * 400_000
+    given = [(None, None, 1), ("a", "", 2), ("b", None, 3), ("c", "One two", 4), ("d", long, 5), ("c2", "One two", 6)]
+    docs = spark.createDataFrame(given, "doc_id string, text string, sequence_id long").repartition(2)
+    want = {k: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for k, t, _ in given}
+    assert check(pack(docs, SPEC).collect(), want) == 0
+    assert pack(docs.where("false"), SPEC).count() == 0
+    assert pack(docs.withColumnsRenamed({"doc_id": "a.b", "text": "the text"}), SPEC, "a.b", "the text").count() == pack(docs, SPEC).count()
