@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 
 # Arrow batches are handled in slices of about this many bytes of text (one row at least).
 SLICE_BYTES = 2 << 20
+# Bytes of an Arrow batch while a table is written: the JVM and the worker both hold one for each task.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +40,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     recomputes nothing before it. The table is deleted when the session's JVM ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/logsieve-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)

@@ -182,14 +182,17 @@ def _spec(ranks: frozenset, pattern: str) -> tuple[str, str, frozenset, str]:
 
 
 def encode(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", offsets: bool = False
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", offsets: bool = False, decoded: bool = False
 ) -> DataFrame:
     """``docs`` with ``ids`` (array of int) and ``n_split`` (tokens that begin inside a character);
-    with ``offsets``, also ``starts`` and ``ends``, the characters from and to which each reaches."""
+    with ``offsets``, also ``starts`` and ``ends``, the characters from and to which each reaches;
+    with ``decoded``, also the bytes that ``decode`` makes of the ids, by the same worker."""
     codec = _maker(docs, ranks, pattern)
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_split", T.LongType())]
     if offsets:
         fields += [T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("starts", "ends")]
+    if decoded:
+        fields.append(T.StructField("decoded", T.BinaryType()))
 
     def make() -> Callable[[pa.Array], list[pa.Array]]:
         own = codec()
@@ -207,6 +210,8 @@ def encode(
                 for side in (0, 1):
                     values = np.concatenate([np.zeros(0, np.int32), *(b[side].astype(np.int32) for b in both)])
                     out.append(lists(values, lengths, pa.int32()))
+            if decoded:
+                out.append(pa.array([own.decode(x.tolist()) for x in ids], type=pa.binary()))
             return out
 
         return function

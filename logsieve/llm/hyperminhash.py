@@ -41,6 +41,7 @@ from pyspark.sql import types as T
 from logsieve.llm.base import binary, columns, discard, quoted, slices, text_sizes, with_arrow_columns, written
 from logsieve.llm.components import components
 from logsieve.llm.shingles import mix, shingle_sets
+from logsieve.operators.lookup import lookup_join
 
 SHINGLE = 5
 # Registers of a signature, more only for thresholds that need it, and the chance that no band of a pair meets.
@@ -50,8 +51,10 @@ MANTISSA = 10
 EMPTY = 0xFFFF
 # Standard errors below the threshold at which an estimate rules a pair out.
 MARGIN = 5
-# Members of a band or home whose pairs one task sees at once, and elements that it counts at once.
+# Members of a band or home whose pairs one task sees at once, the bytes of their sets, and elements that it
+# counts at once.
 BLOCK = 512
+BLOCK_BYTES = 4 << 20
 COLUMNS = 4096
 # The factor of the expected number of chance collisions in the published estimator; a fixed value.
 COLLISIONS = 0.169919487159739093975315012348
@@ -126,7 +129,10 @@ def _signatures(docs: DataFrame, size: int) -> DataFrame:
                     names=["doc_id", "n_shingles", "set_key", "signature"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary")
+    fields = T.StructType([T.StructField("doc_id", docs.schema["__id"].dataType)])
+    for name, kind in (("n_shingles", T.LongType()), ("set_key", T.BinaryType()), ("signature", T.BinaryType())):
+        fields = fields.add(name, kind)
+    return docs.mapInArrow(run, fields)
 
 
 def _band_rows(reps: DataFrame, count: int, rows: int) -> DataFrame:
@@ -182,9 +188,13 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _dealt(members: DataFrame, group: str) -> DataFrame:
-    """The rows of each group in blocks, and a row for every two blocks (i <= j) that one is part of."""
-    sizes = members.groupBy(group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, group).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    """The rows of each group in blocks, and a row for every two blocks (i <= j) that one is part of. Groups
+    of one block are not looked up, and a large one is not brought together to be dealt."""
+    size = F.greatest(F.count("*") / BLOCK, F.sum(8 * F.col("n_shingles")) / BLOCK_BYTES)
+    large = written(members.groupBy(group).agg(F.ceil(size).cast("int").alias("blocks")).where("blocks > 1"), "blocks")
+    dealt = lookup_join(members, large, group, "left", bound=large)
+    dealt = dealt.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
 
@@ -271,7 +281,7 @@ def common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.nd
 
 
 def _within(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components of a home (home, rep, root), confirmed on the full sets: of
+    """Links between different components of a home (home, rep, root, n_shingles), confirmed on the full sets: of
     each two blocks just as many as join what is joined at all."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -371,7 +381,8 @@ def _components(source: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     apart = placed.join(mixed_bands, "band").join(reps.select("rep", "signature", "n_shingles"), "rep")
     across = written(_across(apart, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
     together = seats.join(mixed_homes, "home").join(reps.select("rep", "signature", "n_shingles"), "rep")
-    together = written(seats.join(_with_partners(together, percent), "rep"), "together")
+    sized = seats.join(reps.select("rep", "n_shingles"), "rep")
+    together = written(sized.join(_with_partners(together, percent), "rep"), "together")
     for done in (placed, pairs, seats):
         discard(done)
     wanted = across.select(F.explode(F.array("a", "b")).alias("rep")).union(together.select("rep"))
@@ -407,25 +418,36 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
     """One row of ``docs`` for each component, that of the smallest id (null last), and every row without
-    words. Texts are shuffled once, by their sets."""
+    words. Rows are kept or dropped by their ids, so texts are only shuffled if the dropped ids are too many to
+    broadcast; only rows whose id is null or not unique are told apart by their sets."""
     table, whole = _components(_source(docs, doc_id, text), percent)
-    last = F.lit((1 << 63) - 1)
+    best = F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id", "rep", "set_key"))
     chosen = written(
-        whole.groupBy("root")
-        .agg(F.min(F.struct(F.coalesce("least_id", last).alias("__key"), "rep", "set_key")).alias("best"))
-        .select("best.__key", F.col("best.set_key").alias("__set")),
+        whole.groupBy("root").agg(best.alias("best"), F.sum("copies").alias("rows")).select("root", "rows", "best.least_id", "best.set_key"),
         "chosen",
     )
-    discard(table)
-    held = docs.select(
-        F.col(quoted(text)).alias("__words"), F.struct(*columns(docs, docs.columns)).alias("__row"), F.coalesce(F.col(quoted(doc_id)), last).alias("__key")
+    first = chosen.where("rows > 1").select("root", "least_id", F.col("set_key").alias("chosen_key"))
+    later = table.join(whole.select("set_key", "root").join(first, "root"), "set_key").where(
+        ~(F.col("doc_id").eqNullSafe(F.col("least_id")) & (F.col("set_key") == F.col("chosen_key")))
     )
+    twice = written(table.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").select("doc_id"), "twice")
+    marks = later.select("doc_id", F.lit("dropped").alias("mark")).unionByName(twice.withColumn("mark", F.lit("again")))
+    marks = marks.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("key")).agg(F.min("mark").alias("mark"))
+    marks = written(marks, "marks")
+    discard(table)
+    held = docs.select(F.struct(*columns(docs, docs.columns)).alias("row"), F.col(quoted(doc_id)).alias("key"))
+    marked = lookup_join(held, marks, how="left", bound=marks)
+    plain = marked.where("mark IS NULL AND key IS NOT NULL").select("row.*")
+    if twice.isEmpty():
+        return plain
+    again = marked.where("mark = 'again' OR key IS NULL").select("row", "key", F.col("row").getField(text).alias("words"))
     keyed = with_arrow_columns(
-        held, "__words", T.StructType([T.StructField("__set", T.BinaryType())]), lambda: lambda texts: [_set_keys(texts)]
+        again, "words", T.StructType([T.StructField("own_set", T.BinaryType())]), lambda: lambda texts: [_set_keys(texts)]
     )
-    rows = keyed.where("__set IS NOT NULL").join(chosen, ["__key", "__set"], "left_semi")
-    one = rows.groupBy("__key", "__set").agg(F.first("__row").alias("__row"))
-    return keyed.where("__set IS NULL").select("__row.*").unionByName(one.select("__row.*"))
+    same = F.col("key").eqNullSafe(F.col("least_id")) & (F.col("own_set") == F.col("set_key"))
+    rows = keyed.where("own_set IS NOT NULL").join(chosen.select("least_id", "set_key"), same, "left_semi")
+    one = rows.groupBy("key", "own_set").agg(F.first("row").alias("row"))
+    return plain.unionByName(keyed.where("own_set IS NULL").select("row.*")).unionByName(one.select("row.*"))
 
 
 def _set_keys(texts: pa.Array) -> pa.Array:

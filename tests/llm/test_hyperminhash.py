@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from logsieve.llm.components import components
 from logsieve.llm.hyperminhash import drop_near_duplicates, estimate, near_duplicates, registers
@@ -16,7 +17,7 @@ def shingles(text, n=5):
     return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """(id, n, component) by all pairs."""
     sets = [shingles(t) for _, t in rows]
     root = list(range(len(rows)))
@@ -29,9 +30,9 @@ def brute(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and min(len(a), len(b)) * 100 >= 85 * max(len(a), len(b)):
+            if a and b and min(len(a), len(b)) * 100 >= percent * max(len(a), len(b)):
                 both = len(a & b)
-                if 100 * both >= 85 * (len(a) + len(b) - both):
+                if 100 * both >= percent * (len(a) + len(b) - both):
                     root[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(rows):
@@ -110,6 +111,29 @@ def test_against_all_pairs(spark, seed):
     assert len([r for r in kept if r.doc_id is None and shingles(r.text)]) == 1
 
 
+def test_ids_of_any_type_and_long_texts(spark):
+    """String ids, clashing and nested columns, a text of a million words, blocks bounded by bytes."""
+    long = " ".join(f"w{i % 9973}x{i}" for i in range(1_000_000))
+    rows = [("b", long, "k", "m"), ("a", long + " end", "k", "m"), ("c", "one two", None, None), ("c", "one two", None, None), (None, "", "x", "y")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, key string, mark string").withColumn("row", F.struct("key"))
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect()), key=str)
+    assert got == sorted([("a", "a", True), ("b", "a", False), ("c", "c", True), ("c", "c", True), (None, None, True)], key=str)
+    left = drop_near_duplicates(docs)
+    assert left.columns == docs.columns and sorted((r.doc_id or "" for r in left.collect())) == ["", "a", "c"]
+
+
+def test_blocks_by_bytes(spark, monkeypatch):
+    from logsieve.llm import hyperminhash
+
+    monkeypatch.setattr(hyperminhash, "BLOCK_BYTES", 5_000)
+    r = random.Random(13)
+    words = [f"w{i}" for i in range(500)]
+    rows = list(enumerate(family(r, words, 200, 60)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(docs).collect()
+    assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in got), key=str) == brute(rows)
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(docs).count() == 0 and drop_near_duplicates(docs).count() == 0
