@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from logsieve.llm.base import columns, read, written  # noqa: E402
-from logsieve.llm.bpe import decode, encode  # noqa: E402
+from logsieve.llm.bpe import encode  # noqa: E402
 from logsieve.llm.decontam import find_contamination, without_spans  # noqa: E402
 from logsieve.llm.hyperminhash import drop_near_duplicates  # noqa: E402
 from logsieve.llm.pii import find_pii, redacted  # noqa: E402
@@ -59,7 +59,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, and whether decoding them gives the text back."""
     ranks, pattern = vocabulary()
-    decoded = decode(encode(docs, ranks, pattern), ranks, pattern)
+    decoded = encode(docs, ranks, pattern, decoded=True)
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return decoded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip")
