@@ -1,8 +1,11 @@
-"""The two things the package asks of a session that somebody else owns."""
+"""What the package asks of a session that somebody else owns."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -23,3 +26,30 @@ def checkpoint_location(spark: SparkSession, name: str, explicit: str | None = N
             "a machine-local folder would be lost with its machine"
         )
     return f"{shared.rstrip('/')}/{name}"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share. Where it is unset, a local
+    session gets one of its own; on a cluster a machine-local folder would miss what other machines write."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="logsieve-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted at the latest when the session's JVM ends."""
+    path = f"{shared_folder(spark)}/logsieve-{label}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """A small frame as a table in the shared folder: worked out once, and as it is now."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

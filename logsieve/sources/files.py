@@ -18,10 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsieve.functions.once import quoted
+from logsieve.functions.once import quoted, with_once
 from logsieve.functions.records import row_to_json, row_to_map
 from logsieve.functions.text import non_empty
+from logsieve.operators.lookup import fits_broadcast
+from logsieve.session import kept
 from logsieve.sources.lines import read_lines
+from logsieve.sources.quoted import Cells, csv_lines, csv_records, split_rows, split_states
 
 # The supported extensions and the kind of record each holds.
 ROUTES = {".log": "cef", ".cef": "cef", ".csv": "csv", ".parquet": "parquet"}
@@ -104,74 +107,75 @@ def csv_options(lenient: bool = False) -> dict[str, str]:
     return {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": trim, "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_csv(spark: SparkSession, path: str, lenient: bool = False, multiline: bool = True) -> Rows:
+def read_csv(spark: SparkSession, path: str | list[str], lenient: bool = False, multiline: bool = True) -> Rows:
     """CSV with a header row, comma, double quotes, a doubled quote as the escape.
 
     Rows with too few or too many cells are kept in `df` with their text in
     `_corrupt`; `good_rows` and `bad_rows` tell them apart. `lenient` drops white space
-    before a cell. Cells may hold line breaks in quotes, for which a file is read in one
-    task; with `multiline=False` large files are split, and lines whose quotes do not
-    close are kept as rows that do not fit.
+    before a cell. Cells may hold line breaks in quotes; large files are split all the same
+    (see `sources.quoted`), for which one pass over the files finds out how their splits
+    begin. With `multiline=False` every line is a record, and lines whose quotes do not close
+    are kept as rows that do not fit.
 
     Each file has its own header: files of one header are read together, and further
     headers are in `others`.
     """
     options = csv_options(lenient)
-    groups = [
-        _csv_rows(spark, files, list(headers), options, multiline)
-        for headers, files in _files_by_header(spark, path, options).items()
-    ]
-    if not groups:
+    lines = csv_lines(spark, path)
+    splits = kept(split_rows(lines, lenient), "splits")
+    groups = _files_by_header(spark, splits, options)
+    parts = []
+    for headers, files in groups.items():
+        if len(groups) > 1:  # other files may be split otherwise
+            lines = csv_lines(spark, files)
+            splits = kept(split_rows(lines, lenient), "splits")
+        if multiline:
+            texts = csv_records(lines, kept(split_states(splits), "states"), lenient)
+        else:
+            texts = _single_lines(lines, splits)
+        parts.append(_csv_rows(texts, list(headers), options, multiline))
+    if not parts:
         return Rows(spark.createDataFrame([], T.StructType([])), [], [])
-    return replace(groups[0], others=tuple(groups[1:]))
-
-
-def _files_by_header(spark: SparkSession, path: str, options: dict) -> dict[tuple[str, ...], list[str]]:
-    """The files of each header. Of several files, one pass looks for the first lines."""
-    read_first = lambda file: spark.read.options(multiLine="true", **options).csv(file, header=False).first()
-    text = spark.read.option("lineSep", "\n").text(path)
-    files = sorted(text.inputFiles())
-    lines = {}
-    if len(files) > 1:
-        starts = text.select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("seq"),
-            "value",
-        ).filter("block = 0")
-        firsts = starts.groupBy("file").agg(F.min_by("value", "seq").alias("line")).collect()
-        lines = {r["file"]: r["line"].rstrip("\r") for r in firsts}
+    return replace(parts[0], others=tuple(parts[1:]))
+
+
+def _files_by_header(spark: SparkSession, splits: DataFrame, options: dict) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header, from the rows of their splits. Only a header that goes on in the next
+    line is looked up in its file."""
+    lenient = options["ignoreLeadingWhiteSpace"] == "true"
+    cells = Cells(lenient)
+    firsts = splits.where("first IS NOT NULL").groupBy("first").agg(F.sort_array(F.collect_list("file")).alias("files"))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        line = lines.get(file)
-        if line and line.count('"') % 2 == 0:
-            cells = next(csv.reader([line], skipinitialspace=options["ignoreLeadingWhiteSpace"] == "true"))
-        else:  # the only file, or a header that goes on in the next line
-            first = read_first(file)
-            cells = [h or "" for h in first] if first else []
-        if cells:
-            groups.setdefault(tuple(cells), []).append(file)
+    found = [(f, r["first"]) for r in firsts.collect() for f in r["files"]]
+    for file, line in sorted(found):
+        if not cells.ends_inside(line, False):
+            header = next(csv.reader([line], skipinitialspace=lenient))
+        else:
+            header = [h or "" for h in spark.read.options(multiLine="true", **options).csv(file, header=False).first()]
+        groups.setdefault(tuple(header), []).append(file)
     return groups
 
 
-def _csv_rows(spark: SparkSession, files: list[str], headers: list[str], options: dict, multiline: bool) -> Rows:
+def _single_lines(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """`value`: every line but the first of each file and empty ones."""
+    starts = splits.where("start IS NOT NULL").select("file", "block", "start")
+    starts = F.broadcast(starts) if fits_broadcast(starts) else starts
+    found = lines.filter("value <> ''").join(starts, ["file", "block"], "left")
+    return found.filter("start IS NULL OR seq <> start").select("value")
+
+
+def _csv_rows(texts: DataFrame, headers: list[str], options: dict, multiline: bool) -> Rows:
     folded = {h.lower() for h in headers}
     by_name = len(folded) == len(headers) and not folded & {"", CORRUPT}
     names = headers if by_name else [f"_{i}" for i in range(len(headers))]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    keep = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    if multiline:
-        # Only a reader of every column notices rows of the wrong width.
-        reader = spark.read.schema(schema).options(multiLine="true", columnPruning="false", **options, **keep)
-        return Rows(reader.csv(files, header=True, enforceSchema=True), headers, names)
-    # Whole lines but the header, without cells or quotes; then each line as a record.
-    lines = spark.read.schema("line string").csv(files, header=True, enforceSchema=True, sep="\x01", quote="", escape="")
-    ddl = ", ".join(f"{quoted(n)} string" for n in schema.fieldNames())
-    closed = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
-    parsed = F.from_csv("line", ddl, {**options, **keep})
-    rows = lines.withColumn("row", F.when(closed % 2 == 0, parsed)).select(
+    ddl = ", ".join(f"{quoted(n)} string" for n in [*names, CORRUPT])
+    parsed = F.from_csv("value", ddl, {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    whole = F.lit(True)
+    if not multiline:
+        whole = (F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))) % 2 == 0
+    rows = with_once(texts, "row", F.when(whole, parsed)).select(
         *(F.col("row")[n].alias(n) for n in names),
-        F.when(closed % 2 == 1, F.col("line")).otherwise(F.col("row")[CORRUPT]).alias(CORRUPT),
+        F.when(F.col("row").isNull(), F.col("value")).otherwise(F.col("row")[CORRUPT]).alias(CORRUPT),
     )
     return Rows(rows, headers, names)
 
@@ -258,5 +262,18 @@ def messages(rows: Rows, name: str = "value") -> DataFrame:
     return _union(good_rows(rows), lambda p: p.df.select(row_to_json(p.headers, p.cells()).alias(name)))
 
 
+def outcomes(rows: Rows) -> DataFrame:
+    """Every row once: whether it `failed` to fit, and as `value` its JSON message or, if it failed, its text."""
+
+    def of(part: Rows) -> DataFrame:
+        message = row_to_json(part.headers, part.cells())
+        if CORRUPT not in part.df.columns:
+            return part.df.select(F.lit(False).alias("failed"), message.alias("value"))
+        failed = F.col(CORRUPT).isNotNull()
+        return part.df.select(failed.alias("failed"), F.when(failed, F.col(CORRUPT)).otherwise(message).alias("value"))
+
+    return _union(rows, of)
+
+
 def filled(cell: Column) -> Column:
     return non_empty(cell).isNotNull()
