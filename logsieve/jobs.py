@@ -12,19 +12,23 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, astuple, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logsieve.operators.maintain import RETENTION_DAYS
-from logsieve.operators.cef import cef_json, cef_records, cef_rejects, parse_cef
+from logsieve.operators.cef import cef_outcomes, parse_cef
+from logsieve.operators.metrics import observe_parse
 from logsieve.schema import CEF_URL_KEYS, URL_KEYS
-from logsieve.session import configure
+from logsieve.session import configure, scratch
 from logsieve.sinks.deadletters import write_dead_letters
 from logsieve.sinks.messages import Writer, publish, text_writer
-from logsieve.sinks.tables import compact_tools, expire_logs, sync_tools
-from logsieve.sources.files import Rows, bad_rows, file_batches, messages, read_logs, route
+from logsieve.sinks.tables import compact_logs, compact_tools, drop_folder, expire_logs, sync_tools, vacuum
+from logsieve.sources.files import Rows, file_batches, outcomes, read_logs, route
 from logsieve.sources.kafka import TopicOptions, read_topic, topic_writer
 from logsieve.sources.lines import block_offsets, with_line_numbers
 from logsieve.sources.tools import tools_loader
@@ -76,31 +80,51 @@ def ingest(
 def _ingest_cef(
     lines: DataFrame, write: Writer, dead_letters: str, extensions: tuple[str, ...], batch_id: int, name: str
 ) -> Ingested:
-    parsed = parse_cef(lines)
-    records = cef_records(parsed, extensions=extensions)
-    values = records.select(cef_json(records).alias("value"))
-    sent = publish(values, write, dead_letters, batch_id=batch_id, run=f"{name}-publish")
-    # One row per split, read twice: to measure it and to join it.
-    offsets = block_offsets(lines).persist()
-    try:
-        rejects = with_line_numbers(cef_rejects(parsed), offsets)
-        failed = write_dead_letters(
-            rejects.select("error", "line", F.col("value").alias("raw")), dead_letters, batch_id, f"{name}-rejects"
+    place = ["file", "block", "seq"]
+    parsed = cef_outcomes(parse_cef(lines), keep=place, extensions=extensions)
+    with _staged(parsed.withColumn("failed", F.col("error").isNotNull())) as (staged, seen):
+        sent = publish(_records(staged), write, dead_letters, batch_id=batch_id, run=f"{name}-publish")
+        # One row per split, read twice: to measure it and to join it. Only the places of the lines are read.
+        offsets = block_offsets(staged.select(*place)).persist()
+        try:
+            rejects = with_line_numbers(staged.filter("failed").select(*place, "error", "value"), offsets)
+            letters = rejects.select("error", "line", F.col("value").alias("raw"))
+            write_dead_letters(letters, dead_letters, batch_id, f"{name}-rejects")
+        finally:
+            offsets.unpersist()
+    return Ingested(seen["processed"], seen["failed"], sent.published, sent.failed)
+
+
+def _ingest_rows(rows: Rows, write: Writer, dead_letters: str, batch_id: int, name: str) -> Ingested:
+    with _staged(outcomes(rows)) as (staged, seen):
+        sent = publish(_records(staged), write, dead_letters, batch_id=batch_id, run=f"{name}-publish")
+        malformed = staged.filter("failed").select(
+            F.lit(MALFORMED_ROW).alias("error"),
+            F.lit(None).cast("bigint").alias("line"),
+            F.col("value").alias("raw"),
         )
+        write_dead_letters(malformed, dead_letters, batch_id, f"{name}-rejects")
+    return Ingested(seen["processed"], seen["failed"], sent.published, sent.failed)
+
+
+@contextmanager
+def _staged(classified: DataFrame) -> Iterator[tuple[DataFrame, dict[str, int]]]:
+    """The outcomes of one pass over the input as a table in the shared folder, records apart from what
+    `failed`, and the counters of that pass. Publishing, trying again and numbering rejects read the table,
+    so the input is read and parsed once. The table goes in the end."""
+    spark = classified.sparkSession
+    path = scratch(spark, "ingest")
+    counted, seen = observe_parse(classified, F.col("failed"))
+    counted.write.partitionBy("failed").parquet(path)
+    schema = T.StructType([f for f in classified.schema if f.name != "failed"]).add("failed", T.BooleanType())
+    try:
+        yield spark.read.schema(schema).parquet(path), seen.get
     finally:
-        offsets.unpersist()
-    return Ingested(failed + sent.published + sent.failed, failed, sent.published, sent.failed)
+        drop_folder(spark, path)
 
 
-def _ingest_rows(rows: Rows, write: Writer, dead_letters: str, batch_id: int, name: str) -> Ingested:
-    sent = publish(messages(rows), write, dead_letters, batch_id=batch_id, run=f"{name}-publish")
-    malformed = bad_rows(rows).select(
-        F.lit(MALFORMED_ROW).alias("error"),
-        F.lit(None).cast("bigint").alias("line"),
-        F.col("value").alias("raw"),
-    )
-    failed = write_dead_letters(malformed, dead_letters, batch_id, f"{name}-rejects")
-    return Ingested(failed + sent.published + sent.failed, failed, sent.published, sent.failed)
+def _records(staged: DataFrame) -> DataFrame:
+    return staged.filter("NOT failed").select("value")
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -112,7 +136,7 @@ def _parser() -> argparse.ArgumentParser:
     one.add_argument("--kind", choices=("cef", "csv", "parquet"))
     one.add_argument("--extension", action="append", default=[], help="further CEF key to publish")
     one.add_argument("--lenient", action="store_true", help="drop white space before a CSV cell")
-    one.add_argument("--split-lines", action="store_true", help="split large CSV files; no line breaks in cells")
+    one.add_argument("--split-lines", action="store_true", help="every line of a CSV file is a record; cells hold no line breaks")
     one.add_argument("--batch-bytes", type=int, default=BATCH_BYTES, help="bytes of files published at once")
     one.add_argument("--dead-letters", required=True)
     out = one.add_mutually_exclusive_group(required=True)
@@ -143,6 +167,12 @@ def _parser() -> argparse.ArgumentParser:
     three.add_argument("--days", type=int, default=RETENTION_DAYS)
     three.add_argument("--as-of", type=dt.date.fromisoformat, help="default: today in UTC")
 
+    five = jobs.add_parser("compact-logs", help="many small folders of a month of the log table to one")
+    five.add_argument("--logs", required=True)
+    five.add_argument("--month", type=int, help="such as 202401; default: every month")
+    five.add_argument("--least", type=int, default=2, help="least folders of a month that are worth it")
+    five.add_argument("--vacuum", action="store_true", help="also delete what earlier compactions have replaced")
+
     four = jobs.add_parser("compact-tools", help="current version of each tool to a table of its own")
     four.add_argument("--tools", required=True)
     four.add_argument("--target", required=True)
@@ -154,6 +184,12 @@ def _run_expire(spark: SparkSession, args: argparse.Namespace) -> None:
     print(expire_logs(spark, args.logs, today, args.days))
 
 
+def _run_compact_logs(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.vacuum:
+        print(vacuum(spark, args.logs))
+    print(compact_logs(spark, args.logs, args.month, args.least))
+
+
 def _run_compact(spark: SparkSession, args: argparse.Namespace) -> None:
     compact_tools(spark, args.tools, args.target)
 
@@ -206,6 +242,7 @@ def main(argv: list[str] | None = None) -> None:
         "ingest": _run_ingest,
         "enrich": _run_enrich,
         "expire": _run_expire,
+        "compact-logs": _run_compact_logs,
         "compact-tools": _run_compact,
     }[args.job](spark, args)
 

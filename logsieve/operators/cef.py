@@ -22,13 +22,24 @@ def cef_records(
     """Records of the parsed lines: vendor, product, signature id, severity as a number,
     src, dst, name and the line itself; `keep` names columns to carry along and
     `extensions` further extension keys to take out."""
+    return _shaped(parsed.filter(F.col("error").isNull()), keep, line, extensions)
+
+
+def cef_outcomes(
+    parsed: DataFrame, keep: list[str] = (), line: str = "value", extensions: tuple[str, ...] = ()
+) -> DataFrame:
+    """Every parsed line once: `keep`, `error`, and as `value` the JSON of a record or the line of a reject."""
+    shaped = _shaped(parsed, [*keep, "error"], line, extensions)
+    value = F.when(F.col("error").isNull(), cef_json(shaped)).otherwise(F.col("raw_log"))
+    return shaped.select(*keep, "error", value.alias("value"))
+
+
+def _shaped(parsed: DataFrame, keep: list[str], line: str, extensions: tuple[str, ...]) -> DataFrame:
     header = F.col("header")
     # A key that is asked for twice, or named like a fixed one, comes once.
     fixed = ("device_vendor", "device_product", "signature_id", "severity", "name", "raw_log", *keep)
     wanted = tuple(dict.fromkeys(("src", "dst", *(k for k in extensions if k not in fixed))))
-    found = cef.with_extensions(
-        parsed.filter(F.col("error").isNull()), header["extensions"]
-    ).withColumn("_wanted", cef.extension_values(wanted))
+    found = cef.with_extensions(parsed, header["extensions"]).withColumn("_wanted", cef.extension_values(wanted))
     return found.select(
         *keep,
         header["vendor"].alias("device_vendor"),

@@ -62,7 +62,10 @@ def process_batch(
     part = f"run={run}/batch_id={batch_id}"
     try:
         kept = batch.filter(F.col("reason") == "kept")
-        write_logs(log_projection(kept, fallback), outputs.logs, batch_id, run)
+        counts = reconcile(batch)
+        counts.write.mode("overwrite").parquet(f"{outputs.metrics}/{part}")
+        rows = batch.sparkSession.read.schema(counts.schema).parquet(f"{outputs.metrics}/{part}").first()["kept"]
+        write_logs(log_projection(kept, fallback), outputs.logs, batch_id, run, rows)
         violations(kept).write.mode("overwrite").parquet(f"{outputs.violations}/{part}")
         unread = batch.filter(F.col("reason") == BAD_JSON).select(
             F.lit(BAD_JSON).alias("error"),
@@ -70,7 +73,6 @@ def process_batch(
             F.col("value").alias("raw"),
         )
         write_dead_letters(unread, outputs.dead_letters, batch_id, run)
-        reconcile(batch).write.mode("overwrite").parquet(f"{outputs.metrics}/{part}")
     finally:
         batch.unpersist()
 

@@ -194,6 +194,46 @@ def test_ingest_cef(spark, tmp_path):
     assert letters == {("parse_failed", 2, "broken"), ("parse_failed", 4, "")}
 
 
+@pytest.mark.parametrize("name", ["a.log", "a.csv"])
+def test_ingest_reads_its_input_once(spark, tmp_path, name):
+    """Once publishing begins, the input may be gone: retries, rejects, numbers and counters do without."""
+    path = _file(tmp_path, name, CEF_TEXT if name == "a.log" else EDGES)
+    out, dead, calls = str(tmp_path / "m"), str(tmp_path / "d"), []
+
+    def write(values):
+        calls.append(1)
+        if os.path.exists(path):
+            os.remove(path)
+        if len(calls) < 3:
+            raise OSError("broker is away")
+        values.write.mode("append").text(out)
+
+    done = ingest(spark, path, write, dead)
+    letters = sorted((r.error, r.line, r.raw) for r in read_dead_letters(spark, dead).collect())
+    if name == "a.log":
+        assert (done.processed, done.failed, done.published, done.publish_failed) == (4, 2, 2, 0)
+        assert letters == [("parse_failed", 2, "broken"), ("parse_failed", 4, "")]
+    else:
+        assert (done.processed, done.failed, done.published, done.publish_failed) == (6, 2, 4, 0)
+        assert [raw for _, _, raw in letters] == ["long,u3,1,extra", "short,u2"]
+    assert spark.read.text(out).count() == done.published and len(calls) == 3
+
+
+def test_line_numbers_of_rejects_in_split_files(spark, tmp_path):
+    lines = [f"CEF:0|V|P|1|2|N|7|src=1.1.1.1 msg={'x' * (i % 40)}" if i % 7 else f"bad {i}" for i in range(3000)]
+    path = _file(tmp_path, "a.log", "\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        done = ingest(spark, path, text_writer(str(tmp_path / "m")), str(tmp_path / "d"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    letters = {(r.line, r.raw) for r in read_dead_letters(spark, str(tmp_path / "d")).collect()}
+    assert letters == {(i + 1, f"bad {i}") for i in range(0, 3000, 7)}
+    assert (done.processed, done.failed, done.published) == (3000, len(letters), 3000 - len(letters))
+
+
 def test_ingest_csv_folder(spark, tmp_path):
     os.makedirs(tmp_path / "in")
     _file(tmp_path / "in", "a.csv", EDGES)
