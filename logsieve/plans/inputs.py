@@ -34,14 +34,17 @@ def _host(number: Column) -> Column:
     return F.concat(F.lit("tool"), number.cast("string"), F.lit(".example.com"))
 
 
+_LOG_ID = "CASE WHEN event_id % 11 = 5 THEN string(18446744073709551615BD - event_id) ELSE string(event_id) END"
+
+
 def log_messages(spark: SparkSession, sf_dir: str, broken_every: int | None = None) -> DataFrame:
     """One JSON message per event. Destinations come in both cases and with outer spaces,
     every 7th message names none in `dstname`, every 14th of all names one in `url`
-    instead. Numbers leave the range of narrow columns now and then. With `broken_every`
-    each such message is cut short."""
+    instead. Numbers leave the range of narrow columns now and then; every 11th `logid` is close below
+    2^64, every 13th `sentbyte` is 2^64. With `broken_every` each such message is cut short."""
     host = "concat('tool', user_id % 50, '.example.com')"
     fields = {
-        "logid": "string(event_id)",
+        "logid": _LOG_ID,
         "eventtime": r"""date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")""",
         "time": "CASE WHEN event_id % 10 = 3 THEN '12:34:56' END",
         "dstname": f"""CASE WHEN event_id % 7 = 0 THEN ''
@@ -55,7 +58,7 @@ def log_messages(spark: SparkSession, sf_dir: str, broken_every: int | None = No
         "proto": "string(event_id % 300)",
         "action": "event_type",
         "app": "props",
-        "sentbyte": "string(floor(value * 100))",
+        "sentbyte": "CASE WHEN event_id % 13 = 4 THEN '18446744073709551616' ELSE string(floor(value * 100)) END",
     }
     i = F.col("event_id")
     message = F.expr(
@@ -150,7 +153,8 @@ def number_text() -> Column:
         F.concat(F.when(i % 16 == 3, "+").otherwise("-"), user.cast("string")),
         F.concat(F.lit("  "), whole, F.lit("\t")),
         F.lit(""),
-        F.concat(F.lit("99999999999999999999"), user.cast("string")),
+        F.expr("""CASE event_id % 24 WHEN 6 THEN string(18446744073709551615BD - user_id)
+            WHEN 14 THEN string(18446744073709551616BD + user_id) ELSE concat('99999999999999999999', user_id) END"""),
         F.col("event_type"),
     )
 
@@ -189,7 +193,7 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("event_id")
     message = F.to_json(
         F.struct(
-            i.cast("string").alias("logid"),
+            F.expr(_LOG_ID).alias("logid"),
             time_text().alias("timestamp"),
             _host(F.col("user_id") % 25).alias("hostname"),
             ip_text().alias("dstip"),

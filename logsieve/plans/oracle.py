@@ -3,6 +3,8 @@ no JSON, CEF or time text is parsed here, the values are taken from the columns.
 
 from __future__ import annotations
 
+from logsieve.schema import LOG_COLUMNS
+
 # Destination host of each message of `log_messages`, and what it matches.
 _HOSTS = """
 hosts AS (
@@ -27,36 +29,9 @@ matched AS (
     WHERE n_regionkey IN (0, 1, 3)
 )"""
 
-_CENTS = "CAST(floor(value * 100) AS BIGINT)"
-
-_TEXT_COLUMNS_ABSENT = [
-    "srcname",
-    "srcintf",
-    "srcintfrole",
-    "srccountry",
-    "srcmac",
-    "devtype",
-    "osname",
-    "devid",
-    "dstintf",
-    "dstintfrole",
-    "dstcountry",
-    "appcat",
-    "apprisk",
-    "policytype",
-    "type",
-    "subtype",
-    "level",
-    "tool_risk",
-]
-_NUMBERS_ABSENT = [
-    "dstport",
-    "appid",
-    "policyid",
-    "rcvdbyte",
-    "rcvdpkt",
-    "sentpkt",
-]
+# Every 13th message has one more than the largest number of 64 bits, which becomes 0.
+_CENTS = "CASE WHEN event_id % 13 = 4 THEN '0' ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END"
+_LOG_ID = "CASE WHEN event_id % 11 = 5 THEN CAST(18446744073709551615 - event_id AS VARCHAR) ELSE CAST(event_id AS VARCHAR) END"
 
 # What each event's text in `number_text` is worth, and whether it is whole.
 _WHOLE = "event_id * 1000 + user_id"
@@ -64,13 +39,14 @@ _NUMBERS = f"""
 numbers AS (
     SELECT *, CASE event_id % 8
         WHEN 0 THEN {_WHOLE} WHEN 4 THEN {_WHOLE}
+        WHEN 6 THEN CASE event_id % 24 WHEN 6 THEN 18446744073709551615 - user_id WHEN 14 THEN 18446744073709551616 + user_id END
         WHEN 3 THEN CASE WHEN event_id % 16 = 3 THEN user_id ELSE -user_id END END AS whole
     FROM events
 )"""
 
 
-def _uint(limit: int) -> str:
-    return f"CASE WHEN whole BETWEEN 0 AND {limit} THEN whole ELSE 0 END"
+def _uint(limit: int, kind: str = "BIGINT") -> str:
+    return f"CAST(CASE WHEN whole BETWEEN 0 AND {limit} THEN whole ELSE 0 END AS {kind})"
 
 
 _IPV4 = """CASE event_id % 4
@@ -98,6 +74,9 @@ times AS (
     FROM events
 )"""
 
+# A cell's line breaks are line feeds once it is read.
+_LINES = "replace({}, chr(13) || chr(10), chr(10))"
+
 _KEYED = """
 keyed AS (
     SELECT event_id, CASE event_id % 8
@@ -126,7 +105,7 @@ def _customer_cells() -> str:
 
 def _log_projection() -> str:
     known = {
-        "log_id": "event_id",
+        "log_id": _LOG_ID,
         "date": "strftime(ts, '%Y-%m-%d')",
         "eventtime": "ts_text",
         "time": "CASE WHEN event_id % 10 = 3 THEN '12:34:56' ELSE strftime(ts, '%H:%M:%S') END",
@@ -146,9 +125,9 @@ def _log_projection() -> str:
         "action": "event_type",
         "proto": "CASE WHEN event_id % 300 < 256 THEN event_id % 300 ELSE 0 END",
         "sentbyte": _CENTS,
-        **{c: "''" for c in _TEXT_COLUMNS_ABSENT},
-        **{c: "CAST(0 AS BIGINT)" for c in _NUMBERS_ABSENT},
     }
+    absent = {"text": "''", "uint64": "'0'"}
+    known = {c.name: known.get(c.name) or absent.get(c.kind, "CAST(0 AS BIGINT)") for c in LOG_COLUMNS}
     return f"WITH {_MATCHED} SELECT {', '.join(f'{sql} AS {c}' for c, sql in known.items())} FROM matched"
 
 
@@ -162,25 +141,27 @@ def _violations() -> str:
         WHEN 2 THEN (user_id % 10) || 'e3'
         WHEN 3 THEN CASE WHEN event_id % 16 = 3 THEN '+' ELSE '-' END || user_id
         WHEN 4 THEN '  ' || ({_WHOLE}) || chr(9)
-        WHEN 6 THEN '99999999999999999999' || user_id ELSE event_type END"""
+        WHEN 6 THEN CASE event_id % 24 WHEN 6 THEN CAST(18446744073709551615 - user_id AS VARCHAR)
+            WHEN 14 THEN CAST(18446744073709551616 + user_id AS VARCHAR) ELSE '99999999999999999999' || user_id END
+        ELSE event_type END"""
     negative = "(event_id % 16 = 11 AND user_id > 0)"
     return f"""
     WITH kept AS (
-        SELECT events.*, {whole_breach} AS breach, {number_text} AS number_text
+        SELECT events.*, {whole_breach} AS breach, {number_text} AS number_text, {_LOG_ID} AS log_id
         FROM events JOIN nation ON n_nationkey = user_id % 25
         WHERE n_regionkey IN (0, 1, 3)
     )
-    SELECT event_id AS log_id, 'eventtime' AS "column", 'junk ' || strftime(ts, '%H:%M:%S') AS raw,
+    SELECT log_id, 'eventtime' AS "column", 'junk ' || strftime(ts, '%H:%M:%S') AS raw,
         'bad_time' AS rule FROM kept WHERE event_id % 8 = 4
     UNION ALL
-    SELECT event_id, 'dstip', CASE WHEN event_id % 4 = 2 THEN '::1'
+    SELECT log_id, 'dstip', CASE WHEN event_id % 4 = 2 THEN '::1'
         ELSE '10.0.' || (user_id % 256) || '.' || (event_id % 300) END, 'not_ipv4'
     FROM kept WHERE event_id % 4 = 2 OR (event_id % 4 = 0 AND event_id % 300 >= 256)
     UNION ALL
-    SELECT event_id, 'sentbyte', number_text, coalesce(breach, 'out_of_range')
-    FROM kept WHERE breach IS NOT NULL OR {negative}
+    SELECT log_id, 'sentbyte', number_text, coalesce(breach, 'out_of_range')
+    FROM kept WHERE (breach IS NOT NULL AND event_id % 24 <> 6) OR {negative}
     UNION ALL
-    SELECT event_id, 'dstport', number_text, coalesce(breach, 'out_of_range')
+    SELECT log_id, 'dstport', number_text, coalesce(breach, 'out_of_range')
     FROM kept WHERE breach IS NOT NULL OR {negative}
         OR (event_id % 4 = 0 AND {_WHOLE} > 65535)"""
 
@@ -188,7 +169,7 @@ def _violations() -> str:
 def all_sql() -> dict[str, str]:
     return {
         "enrich_ai_tools": f"""WITH {_MATCHED}
-            SELECT event_id AS log_id, ts_text AS eventtime, CAST(n_nationkey AS BIGINT) AS tool_id,
+            SELECT {_LOG_ID} AS log_id, ts_text AS eventtime, CAST(n_nationkey AS BIGINT) AS tool_id,
                 n_name AS tool_name, host_text AS tool_url, r_name AS tool_ai_category,
                 score AS tool_score, {_CENTS} AS sentbyte
             FROM matched""",
@@ -247,12 +228,12 @@ def all_sql() -> dict[str, str]:
         "violations": _violations(),
         "to_uint": f"""WITH {_NUMBERS}
             SELECT event_id, {_uint(2**8 - 1)} AS as_uint8, {_uint(2**16 - 1)} AS as_uint16,
-                {_uint(2**32 - 1)} AS as_uint32, {_uint(2**63 - 1)} AS as_uint64
+                {_uint(2**32 - 1)} AS as_uint32, {_uint(2**64 - 1, "VARCHAR")} AS as_uint64
             FROM numbers""",
         "to_float": f"""WITH {_NUMBERS}
             SELECT event_id, CAST(CASE event_id % 8 WHEN 1 THEN value
                 WHEN 2 THEN user_id % 10 * 1000.0 WHEN 5 THEN 0.0 WHEN 7 THEN 0.0
-                WHEN 6 THEN CAST('99999999999999999999' || user_id AS DOUBLE)
+                WHEN 6 THEN coalesce(CAST(CAST(whole AS VARCHAR) AS DOUBLE), CAST('99999999999999999999' || user_id AS DOUBLE))
                 ELSE CAST(whole AS DOUBLE) END AS DOUBLE) AS value
             FROM numbers""",
         "to_ipv4": f"SELECT event_id, {_IPV4} AS value FROM events",
@@ -339,6 +320,11 @@ def all_sql() -> dict[str, str]:
         "csv_dialect": """
             SELECT 'documents' AS source, doc_id AS id, text FROM documents
             UNION ALL SELECT 'pages', page_id, html FROM pages""",
+        "csv_scan": f"""
+            WITH texts AS (
+                SELECT 'documents' AS source, doc_id AS id, {_LINES.format("text")} AS text FROM documents
+                UNION ALL SELECT 'pages', page_id, {_LINES.format("html")} FROM pages)
+            SELECT source, id, nullif(text, '') AS text FROM texts""",
         "parse_metrics": """
             SELECT count(*) AS processed, count(*) FILTER (event_id % 17 = 0) AS failed FROM events""",
         "logs_by_month": """

@@ -22,8 +22,8 @@ from logsieve.operators.lookup import normalise_tools, tools_by_key
 from logsieve.operators.projection import log_projection, violations
 from logsieve.plans import inputs
 from logsieve.schema import LOG_COLUMNS
-from logsieve.session import configure
-from logsieve.sources.files import csv_options, read_parquet, records, route_column
+from logsieve.session import configure, scratch
+from logsieve.sources.files import csv_options, read_csv, read_parquet, records, route_column
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,14 +56,15 @@ def _long(column: str) -> Column:
 
 
 def _portable(logs: DataFrame) -> DataFrame:
-    """The log table's columns as whole numbers, doubles and text."""
+    """The log table's columns as whole numbers, doubles and text; those of 64 bits without a sign as text."""
 
     def plain(name: str, kind: str) -> str:
         if kind == "instant":
             return f"date_format({name}, 'yyyy-MM-dd HH:mm:ss.SSS')"
         if kind == "float":
             return f"CAST({name} AS DOUBLE)"
-        return f"CAST(`{name}` AS {'BIGINT' if kind.startswith('uint') else 'STRING'})"
+        narrow = kind.startswith("uint") and kind != "uint64"
+        return f"CAST(`{name}` AS {'BIGINT' if narrow else 'STRING'})"
 
     return logs.selectExpr(*[f"{plain(c.name, c.kind)} AS `{c.name}`" for c in LOG_COLUMNS])
 
@@ -75,7 +76,7 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def enrich_ai_tools(spark, sf_dir):
-    logs = _portable(log_projection(_enriched(spark, sf_dir), wide="bigint"))
+    logs = _portable(log_projection(_enriched(spark, sf_dir)))
     return logs.select(
         "log_id", "eventtime", "tool_id", "tool_name", "tool_url", "tool_ai_category",
         "tool_score", "sentbyte",
@@ -84,7 +85,7 @@ def enrich_ai_tools(spark, sf_dir):
 
 @query
 def log_projection_query(spark, sf_dir):
-    return _portable(log_projection(_enriched(spark, sf_dir), wide="bigint"))
+    return _portable(log_projection(_enriched(spark, sf_dir)))
 
 
 @query
@@ -150,8 +151,7 @@ def reconcile(spark, sf_dir):
 @query
 def violations_query(spark, sf_dir):
     events = parse_events(inputs.dirty_messages(spark, sf_dir))
-    found = violations(enrich(events, inputs.tools(spark, sf_dir)))
-    return found.withColumn("log_id", F.col("log_id").cast("bigint"))
+    return violations(enrich(events, inputs.tools(spark, sf_dir)))
 
 
 @query
@@ -160,7 +160,7 @@ def to_uint(spark, sf_dir):
     widths = ("uint8", "uint16", "uint32", "uint64")
     return numbers.select(
         "event_id",
-        *[F.expr(coerce.to_uint("raw", w)).cast("bigint").alias(f"as_{w}") for w in widths],
+        *[F.expr(coerce.to_uint("raw", w)).cast("string" if w == "uint64" else "bigint").alias(f"as_{w}") for w in widths],
     )
 
 
@@ -318,6 +318,18 @@ def csv_dialect(spark, sf_dir):
     )
 
 
+@query
+def csv_scan(spark, sf_dir):
+    """Texts with quotes, commas and line breaks, written as CSV files with headers and read by the reader."""
+    path = scratch(spark, "csv")
+    texts = inputs.table(spark, sf_dir, "documents").select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), "text")
+    pages = inputs.table(spark, sf_dir, "pages").select(F.lit("pages"), "page_id", "html")
+    texts.union(pages).write.options(header=True, **csv_options()).csv(path)
+    return records(read_csv(spark, path)).select(
+        F.col("event")["source"].alias("source"), F.col("event")["id"].cast("bigint").alias("id"), F.col("event")["text"].alias("text")
+    )
+
+
 @query
 def parse_metrics(spark, sf_dir):
     return metrics.parse_metrics(_cef(spark, sf_dir), F.col("error").isNotNull())
