@@ -33,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
     session gets one of its own; on a cluster a machine-local folder would miss what other machines write."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="logsieve-")
         spark.conf.set("spark.checkpoint.dir", folder)
