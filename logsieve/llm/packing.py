@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,14 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsieve.llm.base import quoted, slices, text_sizes
+from logsieve.llm.base import quoted, released, slices, text_sizes
 from logsieve.llm.bpe import byte_characters
 
 LENGTH = 2048
 # Windows that a task holds open at once.
 OPEN = 256
 # Words kept per worker (twice, with the older half), and the longest that is kept.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 KEPT_CHARS = 64
 SLICE = 2 << 20
 # Letters that are composed already and whose lower case does not depend on others, and punctuation that makes
@@ -53,38 +54,43 @@ _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įĲ-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 _NO_SPACE = re.compile("[\x1c-\x1f]")
 
 
-class Words:
-    """The tokenizer, and the ids (uint32, little-endian) of words met so far."""
+class Words(dict):
+    """The ids (uint32, little-endian) of words, worked out when a word is met first."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core already
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = dict(enumerate(byte_characters()))
-        self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.bases: dict[str, bytes] = {}
 
-    def learn(self, words: list[str]) -> None:
-        odd = []
-        for word in words:
-            plain = _PLAIN.fullmatch(word)
-            if plain:
-                self.kept[word] = self._base(plain[1].lower()) + (self._base(plain[2]) if plain[2] else b"")
-            else:
-                odd.append(word)
-        encoded = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
-        self.kept.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(odd, encoded))
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._ids(word)
+        if len(word) <= KEPT_CHARS:
+            self[word] = ids
+        return ids
+
+    def _ids(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self._base(word.lower())
+        plain = _PLAIN.fullmatch(word)
+        if plain:
+            return self._base(plain[1].lower()) + (self._base(plain[2]) if plain[2] else b"")
+        return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def _base(self, word: str) -> bytes:
         """The ids of what the tokenizer does not cut any further."""
         ids = self.bases.get(word)
         if ids is None:
-            letters = word.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes()
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            ids = _packed([t.id for t in self.tokenize(letters)])
             if len(self.bases) >= KEPT_WORDS:
                 self.bases.clear()
             if len(word) <= KEPT_CHARS:
@@ -92,20 +98,15 @@ class Words:
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[t] if _NO_SPACE.search(t) else t.split() for t in texts]
-        if len(self.kept) > KEPT_WORDS:  # words that are met again come back from the older half
-            self.older, self.kept = self.kept, {}
-        new = set(chain.from_iterable(cut)) - self.kept.keys()
-        again = new & self.older.keys()
-        self.kept.update((w, self.older[w]) for w in again)
-        new = list(new - again)
-        for at in range(0, len(new), 5_000):
-            self.learn(new[at : at + 5_000])
-        out = [b"".join(map(self.kept.__getitem__, words)) for words in cut]
-        for word in new:
-            if len(word) > KEPT_CHARS:
-                del self.kept[word]
-        return out
+        if len(self) > KEPT_WORDS:  # words that are met again come back from the older half
+            self.older = dict(self)
+            self.clear()
+        get = self.__getitem__
+        return [b"".join(map(get, [t] if _NO_SPACE.search(t) else t.split())) for t in texts]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=1)
@@ -278,7 +279,7 @@ def pack(
         packer.close()
         yield from emit()
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 
 
 class _emitter:
