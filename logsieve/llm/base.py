@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logsieve.session import shared_folder
+
 # Arrow batches are handled in slices of about this many bytes of text (one row at least).
 SLICE_BYTES = 2 << 20
 # Bytes of an Arrow batch while a table is written: the JVM and the worker both hold one for each task.
@@ -22,19 +24,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which driver and executors share; where that is
-    unset (local runs and tests) a folder of the driver's machine."""
-    try:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # noqa: BLE001 - a session may refuse to read settings of the context
-        folder = None
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="logsieve-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again: a later loss of executors
     recomputes nothing before it. The table is deleted when the session's JVM ends."""
@@ -93,18 +82,40 @@ def text_sizes(array: pa.Array) -> list[int]:
     return pc.fill_null(pc.binary_length(array), 0).to_pylist()
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A function of Arrow batches that in the end gives memory that is free back to the system: workers live
+    on, and stages of other kinds share an executor with them."""
+
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
+
+
 def with_arrow_columns(
     df: DataFrame,
     text: str,
     added: T.StructType,
     make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
     most: int = SLICE_BYTES,
+    after: Callable[[], None] = lambda: None,
 ) -> DataFrame:
     """``df`` with columns that a function of the text column gives, slice by slice.
 
     ``make`` runs once per task and gives the function, which takes the texts of a slice and
     returns one array for each field of ``added``. Columns of ``df`` that are named like an added
-    one are replaced. Nothing is shuffled and no more than a slice is held beside its batch."""
+    one are replaced. Nothing is shuffled and no more than a slice is held beside its batch. ``after`` is
+    called when a task is done."""
     kept = without(df, added.fieldNames())
     hidden = "__arrow_text"
     source = df.select(*columns(df, kept), F.col(quoted(text)).alias(hidden))
@@ -118,8 +129,9 @@ def with_arrow_columns(
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[: len(kept)], *arrays], names=[f.name for f in schema.fields]
                 )
+        after()
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 
 
 def binary(array: pa.Array) -> list[bytes]:

@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsieve.llm.base import lists, with_arrow_columns
+from logsieve.llm.base import lists, released, with_arrow_columns
 
-# Pieces kept per worker (twice, with the older half), and the longest that is kept.
-KEPT_PIECES = 120_000
+# Pieces kept per task (twice, with the older half), and the longest that is kept.
+KEPT_PIECES = 60_000
 KEPT_CHARS = 64
 # Bytes of text that are encoded at once, about.
 SLICE = 2 << 20
@@ -153,6 +153,10 @@ class Codec:
                 del self.kept[piece]
         return out
 
+    def forget(self) -> None:
+        """Drop the pieces met so far: a worker outlives its tasks."""
+        self.kept, self.older = {}, {}
+
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First character and end of each token; a token that holds part of a character counts it."""
         data = np.frombuffer(text.encode(), dtype=np.uint8)
@@ -166,8 +170,10 @@ class Codec:
 
 
 @lru_cache(maxsize=1)
-def _codec(spec: str, pattern: str, ranks: frozenset, newer: str) -> Codec:
-    return Codec(spec, pattern, dict(ranks), newer)
+def _codec(spec: str, pattern: str, ids: bytes, lengths: bytes, tokens: bytes, newer: str) -> Codec:
+    ends = np.cumsum(np.frombuffer(lengths, dtype=np.int32)).tolist()
+    ranks = {tokens[a:b]: i for a, b, i in zip([0, *ends], ends, np.frombuffer(ids, dtype=np.int32).tolist())}
+    return Codec(spec, pattern, ranks, newer)
 
 
 def _maker(df: DataFrame, ranks: dict[bytes, int], pattern: str) -> Callable[[], Codec]:
@@ -177,8 +183,12 @@ def _maker(df: DataFrame, ranks: dict[bytes, int], pattern: str) -> Callable[[],
 
 
 @lru_cache(maxsize=2)
-def _spec(ranks: frozenset, pattern: str) -> tuple[str, str, frozenset, str]:
-    return build_tokenizer(dict(ranks)), pattern, ranks, newer_characters()
+def _spec(ranks: frozenset, pattern: str) -> tuple[str, str, bytes, bytes, bytes, str]:
+    """What a worker builds its codec from, the ranks as a few byte strings: workers keep what is broadcast."""
+    tokens, ids = zip(*ranks) if ranks else ((), ())
+    lengths = np.array([len(t) for t in tokens], dtype=np.int32).tobytes()
+    packed = np.array(ids, dtype=np.int32).tobytes(), lengths, b"".join(tokens)
+    return build_tokenizer(dict(ranks)), pattern, *packed, newer_characters()
 
 
 def encode(
@@ -216,7 +226,7 @@ def encode(
 
         return function
 
-    return with_arrow_columns(docs, text, T.StructType(fields), make, SLICE)
+    return with_arrow_columns(docs, text, T.StructType(fields), make, SLICE, after=lambda: codec().forget())
 
 
 def decode(
@@ -243,7 +253,7 @@ def decode(
 
     kept = without(docs, ["decoded"])
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("decoded", T.BinaryType())])
-    return docs.select(*columns(docs, kept), F.col(quoted(ids)).alias("__ids")).mapInArrow(run, schema)
+    return docs.select(*columns(docs, kept), F.col(quoted(ids)).alias("__ids")).mapInArrow(released(run), schema)
 
 
 def decoded_text(data: bytes) -> str:

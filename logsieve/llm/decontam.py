@@ -26,14 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsieve.llm.base import binary, columns, lists, quoted, slices, text_sizes, without
+from logsieve.llm.base import binary, columns, lists, quoted, released, slices, text_sizes, without
 from logsieve.llm.fmindex import FMIndex
 
 WINDOW = 10
 # Words of test items that one block holds, about.
 BLOCK_WORDS = 1_000_000
 # Bytes of text in a shard, about: a batch is cut where it holds more.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 # Occurrences that are located at once.
 LOCATED = 1 << 20
 
@@ -184,7 +184,7 @@ def find_contamination(
                 arrays = [*part.columns[: len(kept)], *shard(part.column(len(kept)))]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
 
-    return docs.select(*columns(docs, kept), F.col(quoted(text)).alias("__text")).mapInArrow(run, schema)
+    return docs.select(*columns(docs, kept), F.col(quoted(text)).alias("__text")).mapInArrow(released(run), schema)
 
 
 def without_spans(text: str, spans: str) -> Column:

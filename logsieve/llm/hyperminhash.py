@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsieve.llm.base import binary, columns, discard, quoted, slices, text_sizes, with_arrow_columns, written
+from logsieve.llm.base import binary, columns, discard, quoted, released, slices, text_sizes, with_arrow_columns, written
 from logsieve.llm.components import components
 from logsieve.llm.shingles import mix, shingle_sets
 from logsieve.operators.lookup import lookup_join
@@ -132,7 +132,7 @@ def _signatures(docs: DataFrame, size: int) -> DataFrame:
     fields = T.StructType([T.StructField("doc_id", docs.schema["__id"].dataType)])
     for name, kind in (("n_shingles", T.LongType()), ("set_key", T.BinaryType()), ("signature", T.BinaryType())):
         fields = fields.add(name, kind)
-    return docs.mapInArrow(run, fields)
+    return docs.mapInArrow(released(run), fields)
 
 
 def _band_rows(reps: DataFrame, count: int, rows: int) -> DataFrame:
@@ -145,7 +145,7 @@ def _band_rows(reps: DataFrame, count: int, rows: int) -> DataFrame:
                 rep = np.repeat(part.column(0).to_numpy(), used.sum(axis=1))
                 yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(key[used])], names=["rep", "band"])
 
-    return reps.select("rep", "signature").mapInArrow(run, "rep long, band long")
+    return reps.select("rep", "signature").mapInArrow(released(run), "rep long, band long")
 
 
 def _screen(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -168,7 +168,7 @@ def _screen(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 may = (near + MARGIN * error >= percent / 100) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
                 yield part.select(["a", "b"]).filter(pa.array(may))
 
-    return pairs.select("a", "b", "signature_a", "signature_b", "n_a", "n_b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "signature_a", "signature_b", "n_a", "n_b").mapInArrow(released(run), "a long, b long")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -184,7 +184,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 met = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(left, right)]
                 yield part.select(["a", "b"]).filter(pa.array(met))
 
-    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(released(run), "a long, b long")
 
 
 def _dealt(members: DataFrame, group: str) -> DataFrame:
@@ -472,7 +472,7 @@ def _sets(source: DataFrame, reps: DataFrame, wanted: DataFrame) -> DataFrame:
                 arrays = [pa.array(map(_key, sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["set_key", "hashes"])
 
-    found = texts.select("__text").mapInArrow(run, "set_key binary, hashes binary")
+    found = texts.select("__text").mapInArrow(released(run), "set_key binary, hashes binary")
     return written(
         found.join(keys.select("rep", "set_key"), "set_key").select("rep", "hashes").dropDuplicates(["rep"]), "sets"
     )
