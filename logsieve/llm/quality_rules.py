@@ -3,7 +3,8 @@
 Every line of a text is judged on its own: navigation (separators between its words), boilerplate
 (stock phrases in a short line), symbols, shouting, and prose without any punctuation. Lines that fail,
 and lines equal to an earlier one, are taken out; a document that loses more than half of its characters
-is rejected. Documents also fail the base rules if they have fewer than ten words or if over a fifth of
+is rejected. Notices of a licence or of rights are taken out like other boilerplate, but say nothing against the text
+beside them, so they do not count as lost. Documents also fail the base rules if they have fewer than ten words or if over a fifth of
 their words lie in five-word windows that the text holds twice.
 
 All of it works inside the row: no shuffle, and memory in proportion to one text. Windows are compared by
@@ -36,13 +37,13 @@ NAVIGATION_PERCENT = 25
 # A line fails if this share of its characters, in percent, are symbols.
 SYMBOL_PERCENT = 12
 # Stock phrases, in lower case; a line of at most BOILERPLATE_WORDS words that holds one fails.
+NOTICES = ["all rights reserved", "licensed under the"]
 BOILERPLATE = [
-    "all rights reserved",
+    *NOTICES,
     "accept cookies",
     "click here",
     "cookie policy",
     "enable javascript",
-    "licensed under the",
     "log in to",
     "privacy policy",
     "read more",
@@ -83,6 +84,10 @@ def line_parts(line: Column) -> Column:
     )
 
 
+def is_notice(part: Column) -> Column:
+    return (F.size(part["words"]) <= BOILERPLATE_WORDS) & part["line"].rlike("(?i)" + "|".join(NOTICES))
+
+
 def line_fails(part: Column) -> Column:
     line, n = part["line"], F.size(part["words"])
     navigation = F.size(F.filter(part["words"], lambda w: w.isin(SEPARATORS))) * 100 >= n * NAVIGATION_PERCENT
@@ -120,6 +125,9 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     df = with_once(df, "clean", F.array_distinct(F.col("good.line")))
     df = with_once(df, "words", F.flatten("parts.words"))
     as_it_was = F.size("clean") == F.size("parts")
+    notices = F.aggregate(
+        F.filter("parts", is_notice), F.lit(0).cast("long"), lambda total, p: total + F.length(F.array_join(p["words"], ""))
+    )
     df = df.select(
         "row",
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
@@ -128,6 +136,7 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.size("parts") - F.size("good")).cast("long").alias("n_failed_lines"),
         F.when(as_it_was, F.col("text")).otherwise(F.array_join("clean", "\n")).alias("clean_text"),
         F.when(as_it_was, F.lit(0)).alias("lost"),
+        notices.alias("notices"),
         "words",
     )
     df = with_once(df, "hashes", F.transform("words", lambda w: F.xxhash64(w)))
@@ -139,7 +148,7 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     df = df.drop("sorted").withColumn("n_repeat_words", _covered()).drop("starts")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT)
     solid = F.length(F.regexp_replace("clean_text", SPACE_PATTERN, ""))
-    lost = F.coalesce("lost", F.col("word_chars") - solid)
+    lost = F.coalesce("lost", F.col("word_chars") - solid - F.col("notices"))
     df = df.withColumn("base_failed", failed).withColumn(
         "kept",
         ~F.col("base_failed")

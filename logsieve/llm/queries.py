@@ -243,6 +243,46 @@ component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM component LEFT JOIN size USING (doc_id)"""
 
+_PLAIN_WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
+_OP8_SQL = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+word AS (SELECT r, doc_id, t, {_PLAIN_WORDS.format("t")} AS w FROM doc),
+line AS (
+    SELECT r, l, {_PLAIN_WORDS.format("l")} AS w, len(regexp_extract_all(l, '[#*$%&|<>]')) AS symbols, nr
+    FROM (SELECT r, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS nr FROM doc)
+    WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]')),
+judged AS (
+    SELECT r, l, nr, length(array_to_string(w, '')) AS chars, symbols,
+        len(w) <= 30 AND regexp_matches(l, '(?i)(all rights reserved|licensed under the)') AS notice,
+        symbols * 100 >= length(l) * 12
+        OR (len(w) >= 3 AND 100 * len(list_filter(w, lambda x: x IN ('|', '»', '«', '>', '>>', '/', '•', '·', '::', '–', '—'))) >= 25 * len(w))
+        OR (len(w) <= 30 AND regexp_matches(l, '(?i)(all rights reserved|accept cookies|click here|cookie policy|enable javascript|licensed under the|log in to|privacy policy|read more|share this|sign up for|subscribe to|terms of service|terms of use)'))
+        OR (len(w) >= 3 AND NOT regexp_matches(l, '\\p{{Ll}}') AND regexp_matches(l, '\\p{{Lu}}'))
+        OR (len(w) >= 12 AND NOT regexp_matches(l, '[.,;:!?…。，、]')) AS fails,
+        row_number() OVER (PARTITION BY r, l ORDER BY nr) AS nth
+    FROM line),
+lines AS (
+    SELECT r, sum(symbols) AS symbols, count(*) - count(DISTINCT l) AS dups, count_if(fails) AS n_failed,
+        coalesce(sum(chars) FILTER (NOT fails AND nth = 1), 0) AS solid, coalesce(sum(chars) FILTER (notice), 0) AS notices
+    FROM judged GROUP BY r),
+place AS (SELECT r, i, array_to_string(w[i + 1 : i + 5], ' ') AS win FROM (SELECT r, w, unnest(range(greatest(len(w) - 4, 0))) AS i FROM word)),
+again AS (SELECT r, i FROM place QUALIFY count(*) OVER (PARTITION BY r, win) > 1),
+covered AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS k FROM again) GROUP BY r),
+counted AS (
+    SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, coalesce(symbols, 0) AS n_symbols,
+        coalesce(dups, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, coalesce(n_failed, 0) AS n_failed_lines,
+        coalesce(solid, 0) AS solid, coalesce(notices, 0) AS notices,
+        len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS stutter
+    FROM word LEFT JOIN lines USING (r) LEFT JOIN covered c USING (r))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+    CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+        AND (n_failed_lines + n_dup_lines = 0 OR 100 * (word_chars - solid - notices) <= 50 * word_chars)
+        AND 100 * stutter <= 30 * n_words AS kept,
+    CAST(n_failed_lines AS BIGINT) AS n_failed_lines
+FROM counted"""
+
 _FINITE = "embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))"
 _OP12_SQL = f"""
 WITH labelled AS (
@@ -298,6 +338,7 @@ FROM node a JOIN below b ON a.node = b.node LEFT JOIN kids k ON k.parent = a.nod
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": _OP1_SQL,
     "op7_warc": _OP7_SQL,
+    "op8_quality_rules": _OP8_SQL,
     "op10_near_duplicates": _OP10_SQL,
     "op12_hard_negatives": _OP12_SQL,
     "op13_conversation_trie": _OP13_SQL,
