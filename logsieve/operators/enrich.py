@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logsieve.functions.text import lookup_key
 from logsieve.operators.events import event_sql
-from logsieve.operators.lookup import lookup_join, normalise_tools, tools_by_key
+from logsieve.operators.lookup import PreparedTools, lookup_join, normalise_tools, tools_by_key
 from logsieve.schema import URL_KEYS
 
 REASONS = ("bad_json", "no_url", "no_match", "not_ai", "kept")
@@ -59,13 +59,16 @@ def enrich(
 
 
 def classify(
-    events: DataFrame, tools: DataFrame, url_keys: tuple[str, ...] = URL_KEYS
+    events: DataFrame, tools: DataFrame | PreparedTools, url_keys: tuple[str, ...] = URL_KEYS
 ) -> DataFrame:
     """Every event with a `reason`, one of `REASONS`, and the tool columns where a tool
     matched. The events of reason `kept` are those `enrich` returns."""
-    lookup = _tool_side(tools_by_key(tools), "has_ai AS _has_ai")
     keyed = with_lookup_key(events, url_keys)
-    joined = lookup_join(keyed, lookup, how="left", bound=normalise_tools(tools))
+    if isinstance(tools, PreparedTools):
+        joined = lookup_join(keyed, _tool_side(tools.by_key, "has_ai AS _has_ai"), how="left", fits=tools.fits)
+    else:
+        lookup = _tool_side(tools_by_key(tools), "has_ai AS _has_ai")
+        joined = lookup_join(keyed, lookup, how="left", bound=normalise_tools(tools))
     return joined.withColumn("reason", F.expr(_REASON)).drop("key", "_has_ai")
 
 

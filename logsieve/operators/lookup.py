@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +61,14 @@ def tools_by_key(tools: DataFrame) -> DataFrame:
     return latest_per(normalise_tools(tools), ["key"], ["updated_at", "id"])
 
 
+@dataclass(frozen=True)
+class PreparedTools:
+    """A lookup as `tools_by_key` gives it, and whether it was measured to fit a broadcast."""
+
+    by_key: DataFrame
+    fits: bool
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Measure a dimension against the broadcast bounds: one aggregate over it."""
     texts = [f"coalesce(octet_length({name}), 0)" for name, kind in df.dtypes if kind == "string"]
@@ -73,10 +83,11 @@ def lookup_join(
     key: str = "key",
     how: str = "inner",
     bound: DataFrame | None = None,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Join events to a lookup with at most one row per key and no empty key; `how` is
     inner or left. `bound` is a frame the lookup is a reduction of: cheaper to measure,
-    and small enough if the lookup is made from it.
+    and small enough if the lookup is made from it. `fits` says that it was measured before.
 
     A lookup within the bounds is broadcast and the events stay where they are. A
     larger one is joined by one shuffle of the events, dealt to SALTS tasks per key: every
@@ -86,7 +97,9 @@ def lookup_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how}")
-    if (bound is not None and fits_broadcast(bound)) or fits_broadcast(lookup):
+    if fits is None:
+        fits = (bound is not None and fits_broadcast(bound)) or fits_broadcast(lookup)
+    if fits:
         return events.join(F.broadcast(lookup), key, how)
 
     if how == "inner":

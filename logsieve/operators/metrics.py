@@ -63,10 +63,20 @@ def header_report(rows: Rows) -> DataFrame:
 def reconcile(classified: DataFrame) -> DataFrame:
     """What was read against what became of it: kept, rejected as unreadable, dropped.
     `read` is counted on its own, so the books balance or show the difference."""
+    return classified.agg(*_books())
+
+
+def observe_books(classified: DataFrame) -> tuple[DataFrame, Observation]:
+    """`reconcile` as a by-product of the one action that runs on the returned frame."""
+    observation = Observation()
+    return classified.observe(observation, *_books()), observation
+
+
+def _books() -> list[Column]:
     reason = F.col("reason")
-    return classified.agg(
+    return [
         F.count(F.lit(1)).alias("read"),
         F.count_if(reason == "kept").alias("kept"),
         F.count_if(reason == "bad_json").alias("rejected"),
         F.count_if(reason.isin("no_url", "no_match", "not_ai")).alias("dropped"),
-    )
+    ]

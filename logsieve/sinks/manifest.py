@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,56 +38,64 @@ class Manifest:
             return False
         return f"/run={COMPACTED}" not in f"/{folder}" or folder in self.compacted
 
-    def text(self) -> str:
-        return json.dumps({k: sorted(v) if isinstance(v, frozenset) else v for k, v in asdict(self).items()})
-
 
 def _place(spark: SparkSession, path: str):
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def read_manifest(spark: SparkSession, path: str) -> Manifest:
-    place, system = _place(spark, f"{path.rstrip('/')}/{FOLDER}")
+def last_version(spark: SparkSession, folder: str) -> dict | None:
+    """What the highest version in a folder says."""
+    place, system = _place(spark, folder)
     if not system.exists(place):
-        return Manifest()
+        return None
     names = [s.getPath().getName() for s in system.listStatus(place)]
     versions = sorted(n for n in names if n.endswith(".json") and not n.startswith("."))
     if not versions:
-        return Manifest()
-    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place, versions[-1])
-    stream = system.open(file)
+        return None
+    stream = system.open(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place, versions[-1]))
     try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    held = json.loads(text)
-    return Manifest(held["version"], frozenset(held["replaced"]), frozenset(held["compacted"]))
 
 
-def commit(spark: SparkSession, path: str, new: Manifest) -> None:
-    """Put the next version in place; `Conflict` if another job was first."""
+def put_version(spark: SparkSession, folder: str, version: int, held: dict) -> None:
+    """Put a version in place, whole or not at all; `Conflict` if another job was first."""
     jvm = spark.sparkContext._jvm
-    folder, system = _place(spark, f"{path.rstrip('/')}/{FOLDER}")
-    system.mkdirs(folder)
-    aside = jvm.org.apache.hadoop.fs.Path(folder, f".{uuid.uuid4().hex}")
-    final = jvm.org.apache.hadoop.fs.Path(folder, f"{new.version:012d}.json")
+    place, system = _place(spark, folder)
+    system.mkdirs(place)
+    aside = jvm.org.apache.hadoop.fs.Path(place, f".{uuid.uuid4().hex}")
+    final = jvm.org.apache.hadoop.fs.Path(place, f"{version:012d}.json")
     stream = system.create(aside, False)
     try:
-        stream.write(bytearray(new.text().encode()))
+        stream.write(bytearray(json.dumps(held).encode()))
     finally:
         stream.close()
-    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
     keep = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     try:
         files.rename(aside, final, keep)
     except Exception as failure:
         system.delete(aside, False)
         if system.exists(final):
-            raise Conflict(f"version {new.version} of the manifest is taken") from failure
+            raise Conflict(f"version {version} is taken") from failure
         raise
 
 
+def read_manifest(spark: SparkSession, path: str) -> Manifest:
+    held = last_version(spark, f"{path.rstrip('/')}/{FOLDER}")
+    if held is None:
+        return Manifest()
+    return Manifest(held["version"], frozenset(held["replaced"]), frozenset(held["compacted"]))
+
+
+def commit(spark: SparkSession, path: str, new: Manifest) -> None:
+    """Put the next version in place; `Conflict` if another job was first."""
+    held = {"version": new.version, "replaced": sorted(new.replaced), "compacted": sorted(new.compacted)}
+    put_version(spark, f"{path.rstrip('/')}/{FOLDER}", new.version, held)
+
+
 def folders(spark: SparkSession, path: str, month: str = "*") -> list[str]:
     """The folders of batches that lie in the table, live or not, relative to it."""
     root, system = _place(spark, path.rstrip("/"))

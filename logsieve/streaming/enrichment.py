@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logsieve.operators.enrich import classify
 from logsieve.operators.events import parse_events
-from logsieve.operators.metrics import reconcile, window_counts
+from logsieve.operators.lookup import PreparedTools
+from logsieve.operators.metrics import observe_books, window_counts
 from logsieve.operators.projection import log_projection, violations
 from logsieve.schema import URL_KEYS
 from logsieve.session import checkpoint_location
@@ -44,28 +45,27 @@ class Outputs:
 def process_batch(
     messages: DataFrame,
     batch_id: int,
-    tools: DataFrame,
+    tools: DataFrame | PreparedTools,
     outputs: Outputs,
     url_keys: tuple[str, ...] = URL_KEYS,
     fallback: str | None = None,
     run: str = "stream",
 ) -> None:
     """Enrich one batch of messages and write its logs, violations, dead letters and
-    counts, below the name of the run. The messages stay in the source's splits. The
-    classified batch, of which unreadable messages alone keep their text, is kept while its
-    four outputs are written, so it is read, parsed and joined once; the source's rate
-    options bound it."""
+    counts, below the name of the run. The messages stay in the source's splits. Only
+    events that are kept and unreadable messages stay while the outputs are written; what is
+    dropped is counted as it passes. So a batch is read, parsed and joined once; the source's
+    rate options bound it."""
     extra = tuple(k for k in url_keys if k not in URL_KEYS)
     events = parse_events(messages, extra_keys=extra)
-    batch = classify(events, tools, url_keys)
+    counted, seen = observe_books(classify(events, tools, url_keys))
+    batch = counted.filter(F.col("reason").isin("kept", BAD_JSON))
     batch = batch.withColumn("value", F.when(F.col("reason") == BAD_JSON, F.col("value"))).persist()
     part = f"run={run}/batch_id={batch_id}"
     try:
+        batch.write.format("noop").mode("overwrite").save()  # reads, parses, joins and counts, once
         kept = batch.filter(F.col("reason") == "kept")
-        counts = reconcile(batch)
-        counts.write.mode("overwrite").parquet(f"{outputs.metrics}/{part}")
-        rows = batch.sparkSession.read.schema(counts.schema).parquet(f"{outputs.metrics}/{part}").first()["kept"]
-        write_logs(log_projection(kept, fallback), outputs.logs, batch_id, run, rows)
+        write_logs(log_projection(kept, fallback), outputs.logs, batch_id, run, seen.get["kept"])
         violations(kept).write.mode("overwrite").parquet(f"{outputs.violations}/{part}")
         unread = batch.filter(F.col("reason") == BAD_JSON).select(
             F.lit(BAD_JSON).alias("error"),
@@ -73,13 +73,15 @@ def process_batch(
             F.col("value").alias("raw"),
         )
         write_dead_letters(unread, outputs.dead_letters, batch_id, run)
+        books = messages.sparkSession.createDataFrame([seen.get], "read long, kept long, rejected long, dropped long")
+        books.coalesce(1).write.mode("overwrite").parquet(f"{outputs.metrics}/{part}")
     finally:
         batch.unpersist()
 
 
 def start_enrichment(
     messages: DataFrame,
-    load_tools: Callable[[], DataFrame],
+    load_tools: Callable[[], DataFrame | PreparedTools],
     outputs: Outputs,
     checkpoint: str | None = None,
     seconds: int = 30,
@@ -88,7 +90,8 @@ def start_enrichment(
     fallback: str | None = None,
 ) -> StreamingQuery:
     """Start the stream. `messages` has a `value` column; `load_tools` is called for
-    every batch, so changes of the dimension take effect with the next one.
+    every batch, so changes of the dimension take effect with the next one; with
+    `ToolDimension.current` an unchanged dimension is not even read again.
 
     A batch is started every `seconds`; with `drain` the stream works off what is there
     and ends. Size batches with the source's rate options.

@@ -21,7 +21,7 @@ from logsieve.plans.queries import all_queries
 from logsieve.schema import CEF_URL_KEYS, LOG_COLUMNS, URL_KEYS
 from logsieve.sinks.deadletters import read_dead_letters
 from logsieve.jobs import main
-from logsieve.operators.metrics import reconcile, window_counts
+from logsieve.operators.metrics import observe_books, window_counts
 from logsieve.sinks.tables import expire_logs, sync_tools, write_logs
 from logsieve.sources.kafka import TopicOptions
 from logsieve.sources.tools import tools_loader
@@ -314,7 +314,7 @@ def test_micro_batches_are_not_shuffled_before_they_are_parsed(spark, tools, tmp
     from logsieve.streaming import enrichment
 
     plans = []
-    monkeypatch.setattr(enrichment, "reconcile", lambda batch: plans.append(_plan(batch)) or reconcile(batch))
+    monkeypatch.setattr(enrichment, "observe_books", lambda batch: plans.append(_plan(batch)) or observe_books(batch))
     messages = spark.createDataFrame([(_message(i),) for i in range(4)], "value string")
     process_batch(messages, 0, tools, Outputs.under(str(tmp_path / "out")))
     assert "RoundRobin" not in plans[0]
