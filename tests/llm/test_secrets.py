@@ -54,3 +54,73 @@ def test_the_network_adds_what_looks_alike(spark):
 
 def test_empty(spark):
     assert find_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def corpus(r, n=400):
+    """Findings of several shapes, and assignments that are none."""
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    word = lambda: "".join(r.choice("aeioulnrst") for _ in range(r.randrange(6, 10)))
+    rows = []
+    for i in range(n):
+        value = r.choice(["".join(r.choice(letters) for _ in range(32)), f"{word()}{r.randrange(9)}{word()[:3]}"])
+        rows.append(f'{word()} {r.choice(["password", "secret", "api_key", "passwd"])}{r.choice([" = ", ": "])}"{value}" {word()}')
+        rows.append(f"{word()}: {word()} {word()}, {word()} = {word()} and mail{i}.example.com/{word()}")
+    return rows
+
+
+def test_short_and_digit_free_values_are_found(spark):
+    r = random.Random(9)
+    rows = corpus(r) + ['the passphrase = "hunter2abc" here', 'my private_key: "abcdefghijklmnopqrstuvwxyzABCDEF" there', "note: nothing else, done"]
+    docs = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(rows)], "doc_id string, text string")
+    got = {x.doc_id: [(s.kind, s.start, s.end) for s in x.spans] for x in find_secrets(docs).collect()}
+    n = len(rows)
+    for i, value in ((n - 3, "hunter2abc"), (n - 2, "abcdefghijklmnopqrstuvwxyzABCDEF")):
+        at = rows[i].index(value)
+        assert got[f"d{i}"] == [("model", at, at + len(value))]
+    plain = [got[f"d{i}"] for i in range(1, n - 3, 2)] + [got[f"d{n - 1}"]]
+    assert sum(map(bool, plain)) <= 0.05 * len(plain)
+
+
+def test_recall_over_all_findings(spark):
+    from pyspark.sql import functions as F
+
+    from logsieve.llm import secrets
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    table = secrets.written(secrets.read_spans(docs, "doc_id", "text"), "test")
+    # Every finding of the rules lies over a candidate that is labelled as one.
+    kinds = table.selectExpr(
+        "size(base) AS n", "size(filter(base, b -> exists(cands, c -> c.found AND c.start < b.end AND b.start < c.end))) AS met"
+    ).agg(F.sum("n"), F.sum("met")).first()
+    assert kinds[0] == kinds[1] > 200
+    networks = secrets.learn(table)
+    rows = table.select(F.explode("cands").alias("c")).select("c.*").collect()
+    scores = networks.scores([(x.left, x.own, x.right) for x in rows])
+    frame = spark.createDataFrame([([x.asDict()], [float(s)]) for x, s in zip(rows, scores)], "cands array<struct<start:int,end:int,found:boolean,left:string,own:string,right:string>>, scores array<double>")
+    limit = secrets.threshold(frame)
+    found = [s >= limit for x, s in zip(rows, scores) if x.found]
+    assert sum(found) >= 0.98 * len(found)
+    assert ((0 <= scores) & (scores <= 1)).all()
+
+
+def test_long_tokens_need_bounded_memory():
+    import numpy as np
+
+    from logsieve.llm import secrets
+
+    network = secrets.Network()
+    r = np.random.RandomState(2)
+    shorter = [secrets.symbols("token = ", "".join(map(chr, r.randint(33, 126, n))), " x") for n in (6, 40, 100_000, 7)]
+    want = [1 / (1 + np.exp(-(network.pooled([t])[0] @ network.weights + network.level)))[0] for t in shorter]
+    assert np.allclose(network.raw_scores(shorter), want)
+    taken, pooled = [], network.pooled
+    network.pooled = lambda texts: taken.append(sum(map(len, texts))) or pooled(texts)
+    long = secrets.symbols("key: ", "ab1/" * 5_000_000, "")  # 20 MB
+    assert 0 < network.raw_scores([long])[0] < 1
+    assert max(taken) < 2 * secrets.AT_ONCE and sum(taken) >= 20_000_000
+
+
+def test_a_long_token_in_a_text(spark):
+    rows = corpus(random.Random(3), 60) + ["blob: " + "QUJD1/" * 300_000]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    assert find_secrets(docs).count() == len(rows)
