@@ -9,9 +9,12 @@ the driver, and nothing but the narrow metadata is read by the passes.
 
 Every dimension is a 62-bit integer: 40 bits of the metadata's order, then 22 bits of a hash, so that
 rows of one source, language or size can be told apart and a value that a third of all rows share is
-split like any other.
+split like any other. The order of a text is the rank of its whole value among all distinct ones, by a range-partitioned
+sort of these; whole numbers count from the least one, in steps that make the greatest fit. The hash bits do not count
+for a dimension's extent, so a node of one source is not split along the source while another dimension differs.
 
-Defined results: a null text has no bytes; null metadata sort first; repeated rows are dealt by the
+Defined results: a null text has no bytes; null metadata sort first; ids may be of any type, those that are no whole
+numbers are ordered by a hash; a metadata column that the table lacks is no dimension; repeated rows are dealt by the
 number they got when the metadata table was written; an empty table gives no rows; other columns are
 left out."""
 
@@ -21,8 +24,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logsieve.llm.base import quoted, written
+from logsieve.operators.lookup import lookup_join
 
 BINS = 1024
 ORDER_BITS, TIE_BITS = 40, 22
@@ -51,32 +56,53 @@ class Node:
         return F.when(F.col(dims[self.dim]) < self.at, self.left.column(dims)).otherwise(self.right.column(dims))
 
 
-def text_order(value: Column) -> Column:
-    """The first five UTF-8 bytes as a number."""
-    head = F.rpad(F.substring(F.hex(F.encode(value, "UTF-8")), 1, 10), 10, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(0))
+def ranks(narrow: DataFrame, column: str) -> DataFrame:
+    """key, rank (from 1) of the distinct values of a column, in their order."""
+    values = narrow.select(F.col(column).alias("key")).where("key IS NOT NULL").distinct()
+    laid = values.repartitionByRange("key").sortWithinPartitions("key")
+    laid = written(laid.withColumns({"part": F.spark_partition_id(), "seq": F.monotonically_increasing_id()}), "kd-values")
+    parts = laid.groupBy("part").agg(F.count("*").alias("n"), F.min("seq").alias("first"))  # a row per task
+    before = F.expr("coalesce(sum(n) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)")
+    parts = parts.select("part", "first", before.alias("before"))
+    return written(laid.join(F.broadcast(parts), "part").select("key", (F.col("before") + F.col("seq") - F.col("first") + 1).alias("rank")), "kd-ranks")
+
+
+def scaled(narrow: DataFrame, column: str) -> Column:
+    """A whole number from the least one on, in steps of a power of two that make the greatest fit."""
+    low, high = narrow.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        return F.lit(0).cast("long")
+    shift = max(0, (high - low).bit_length() - ORDER_BITS + 1)
+    return F.coalesce(F.shiftright(F.col(column), shift) - F.lit(low >> shift) + 1, F.lit(0))
 
 
 def metadata(docs: DataFrame, doc_id: str, text: str, texts: list[str]) -> DataFrame:
     """The narrow table that all passes read: id, size, checksum and the dimensions d0, d1, ..."""
     data = F.coalesce(F.encode(F.col(quoted(text)), "UTF-8"), F.lit(b""))
+    whole = isinstance(docs.schema[doc_id].dataType, T.IntegralType)
+    key = F.col(quoted(doc_id)).cast("long") if whole else F.xxhash64(F.col(quoted(doc_id)))
+    texts = [c for c in texts if c.lower() in {n.lower() for n in docs.columns}]
     narrow = docs.select(
         F.col(quoted(doc_id)).alias("doc_id"),
+        key.alias("id_order"),
         (F.octet_length(data) + 8).cast("long").alias("size"),
         F.crc32(data).alias("text_crc32"),
         F.monotonically_increasing_id().alias("row"),
-        *(text_order(F.col(quoted(c))).alias(f"t{i}") for i, c in enumerate(texts)),
+        *(F.col(quoted(c)).cast("string").alias(f"t{i}") for i, c in enumerate(texts)),
     )
+    narrow = written(narrow, "kd-rows")
+    most = (1 << ORDER_BITS) - 1
+    orders = [F.least("size", F.lit(most)), scaled(narrow, "id_order")]
+    dims = narrow
+    for i in range(len(texts)):
+        rank = ranks(narrow, f"t{i}")
+        dims = lookup_join(dims.withColumnRenamed(f"t{i}", "key"), rank, how="left", bound=rank)
+        dims = dims.withColumn(f"r{i}", F.coalesce("rank", F.lit(0))).drop("key", "rank")
+        orders.append(F.least(f"r{i}", F.lit(most)))
     tie = F.shiftleft(F.xxhash64("doc_id", "size", "text_crc32").bitwiseAND((1 << 14) - 1), TIE_BITS - 14)
     tie = tie + F.xxhash64("row").bitwiseAND((1 << (TIE_BITS - 14)) - 1)
-    most = (1 << ORDER_BITS) - 1
-    orders = [
-        F.least("size", F.lit(most)),
-        F.least(F.greatest(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(0)), F.lit(most)),
-        *(F.col(f"t{i}") for i in range(len(texts))),
-    ]
     return written(
-        narrow.select(
+        dims.select(
             "doc_id",
             "size",
             "text_crc32",
@@ -111,7 +137,8 @@ def grow(meta: DataFrame, shards: int) -> Node:
             if e is None:  # fewer rows than shards
                 node.dim, node.at = 0, 0
                 continue
-            wide = [(e[f"hi_{d}"] - e[f"lo_{d}"]) / max(1, whole[f"hi_{d}"] - whole[f"lo_{d}"]) for d in dims]
+            extent = lambda of, d: (of[f"hi_{d}"] >> TIE_BITS) - (of[f"lo_{d}"] >> TIE_BITS)
+            wide = [extent(e, d) / max(1, extent(whole, d)) for d in dims]
             k = max(range(len(dims)), key=lambda i: (wide[i], -i))
             node.dim = k
             spans[first] = [k, e[f"lo_{dims[k]}"], e[f"hi_{dims[k]}"], e["bytes"] * (node.count // 2) / node.count]
