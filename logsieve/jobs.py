@@ -25,8 +25,9 @@ from logsieve.operators.cef import cef_outcomes, parse_cef
 from logsieve.operators.metrics import observe_parse
 from logsieve.schema import CEF_URL_KEYS, URL_KEYS
 from logsieve.session import configure, scratch
+from logsieve.sinks.acknowledged import TaskWriter, publish_units, with_unit
 from logsieve.sinks.deadletters import write_dead_letters
-from logsieve.sinks.messages import Writer, publish, text_writer
+from logsieve.sinks.messages import Published, Writer, publish, text_writer
 from logsieve.sinks.tables import compact_logs, compact_tools, drop_folder, expire_logs, sync_tools, vacuum
 from logsieve.sources.files import Rows, file_batches, outcomes, read_logs, route
 from logsieve.sources.kafka import TopicOptions, read_topic, topic_writer
@@ -49,7 +50,7 @@ class Ingested:
 def ingest(
     spark: SparkSession,
     path: str,
-    write: Writer,
+    write: Writer | TaskWriter,
     dead_letters: str,
     kind: str | None = None,
     extensions: tuple[str, ...] = (),
@@ -58,6 +59,7 @@ def ingest(
 ) -> Ingested:
     """Publish a log file's records and keep its rejects as dead letters.
 
+    write: takes all records at once, or as a `TaskWriter` task by task, each acknowledged by itself.
     kind: record kind of a folder whose name does not tell it.
     extensions: CEF extension keys to publish besides src and dst.
     batch_bytes: files are published in batches of about this size, one file at least; each
@@ -78,12 +80,12 @@ def ingest(
 
 
 def _ingest_cef(
-    lines: DataFrame, write: Writer, dead_letters: str, extensions: tuple[str, ...], batch_id: int, name: str
+    lines: DataFrame, write: Writer | TaskWriter, dead_letters: str, extensions: tuple[str, ...], batch_id: int, name: str
 ) -> Ingested:
     place = ["file", "block", "seq"]
     parsed = cef_outcomes(parse_cef(lines), keep=place, extensions=extensions)
     with _staged(parsed.withColumn("failed", F.col("error").isNotNull())) as (staged, seen):
-        sent = publish(_records(staged), write, dead_letters, batch_id=batch_id, run=f"{name}-publish")
+        sent = _publish(staged, write, dead_letters, batch_id, name)
         # One row per split, read twice: to measure it and to join it. Only the places of the lines are read.
         offsets = block_offsets(staged.select(*place)).persist()
         try:
@@ -95,9 +97,9 @@ def _ingest_cef(
     return Ingested(seen["processed"], seen["failed"], sent.published, sent.failed)
 
 
-def _ingest_rows(rows: Rows, write: Writer, dead_letters: str, batch_id: int, name: str) -> Ingested:
+def _ingest_rows(rows: Rows, write: Writer | TaskWriter, dead_letters: str, batch_id: int, name: str) -> Ingested:
     with _staged(outcomes(rows)) as (staged, seen):
-        sent = publish(_records(staged), write, dead_letters, batch_id=batch_id, run=f"{name}-publish")
+        sent = _publish(staged, write, dead_letters, batch_id, name)
         malformed = staged.filter("failed").select(
             F.lit(MALFORMED_ROW).alias("error"),
             F.lit(None).cast("bigint").alias("line"),
@@ -123,8 +125,11 @@ def _staged(classified: DataFrame) -> Iterator[tuple[DataFrame, dict[str, int]]]
         drop_folder(spark, path)
 
 
-def _records(staged: DataFrame) -> DataFrame:
-    return staged.filter("NOT failed").select("value")
+def _publish(staged: DataFrame, write: Writer | TaskWriter, dead_letters: str, batch_id: int, name: str) -> Published:
+    records, run = staged.filter("NOT failed"), f"{name}-publish"
+    if isinstance(write, TaskWriter):
+        return publish_units(with_unit(records), write, dead_letters, batch_id=batch_id, run=run)
+    return publish(records.select("value"), write, dead_letters, batch_id=batch_id, run=run)
 
 
 def _parser() -> argparse.ArgumentParser:
