@@ -124,6 +124,8 @@ def threshold_search(
                     seen[g] = True
             fresh = np.flatnonzero(seen[active].any(axis=0) & ~scored)
             scores[:, fresh] = own @ held[fresh].T
+            if kind is object and np.abs(scores[:, fresh]).max(initial=0) > MOST:
+                raise OverflowError("a score is out of 64 bits")
             scored[fresh] = True
             limit = positive @ held[shard.order[:, n - depth], at] + negative @ held[shard.order[:, depth - 1], at]
             still = []

@@ -53,7 +53,7 @@ def test_ties_copies_and_odd_rows(spark, monkeypatch):
     assert mined(df.where("false")) == [] and mined(df.where("vec_id % 50 <> 0")) == []
 
 
-@pytest.mark.parametrize("scale", [1.0, 300.0, 3e6, 3e15])
+@pytest.mark.parametrize("scale", [300.0, 3e6, 3e15])
 def test_large_components_are_exact(spark, scale):
     r = random.Random(4)
     rows = [(i, i % 2, [scale * r.uniform(-1, 1) * (1 if i % 9 else 1e-3) for _ in range(3)]) for i in range(120)]
