@@ -29,6 +29,7 @@ from logsieve.sinks.acknowledged import TaskWriter, publish_units, with_unit
 from logsieve.sinks.deadletters import write_dead_letters
 from logsieve.sinks.messages import Published, Writer, publish, text_writer
 from logsieve.sinks.tables import compact_logs, compact_tools, drop_folder, expire_logs, sync_tools, vacuum
+from logsieve.sources.changes import CHANGES, ToolDimension
 from logsieve.sources.files import Rows, file_batches, outcomes, read_logs, route
 from logsieve.sources.kafka import TopicOptions, read_topic, topic_writer
 from logsieve.sources.lines import block_offsets, with_line_numbers
@@ -151,7 +152,9 @@ def _parser() -> argparse.ArgumentParser:
 
     two = jobs.add_parser("enrich", help="messages to the log table, as a stream")
     two.add_argument("--output", required=True)
-    two.add_argument("--tools", required=True)
+    dimension = two.add_mutually_exclusive_group(required=True)
+    dimension.add_argument("--tools", help="folder of the tools")
+    dimension.add_argument("--tools-state", help="folder that follow-tools keeps up to date")
     two.add_argument("--tools-format", default="parquet")
     two.add_argument("--checkpoint")
     two.add_argument("--window-seconds", type=int, default=30)
@@ -178,6 +181,13 @@ def _parser() -> argparse.ArgumentParser:
     five.add_argument("--least", type=int, default=2, help="least folders of a month that are worth it")
     five.add_argument("--vacuum", action="store_true", help="also delete what earlier compactions have replaced")
 
+    six = jobs.add_parser("follow-tools", help="keep the tools dimension up to date from a feed of changes")
+    six.add_argument("--changes", required=True, help="folder of JSON lines: the tools' columns and deleted")
+    six.add_argument("--state", required=True, help="folder of the dimension")
+    six.add_argument("--checkpoint")
+    six.add_argument("--window-seconds", type=int, default=30)
+    six.add_argument("--drain", action="store_true", help="work off what is there and end")
+
     four = jobs.add_parser("compact-tools", help="current version of each tool to a table of its own")
     four.add_argument("--tools", required=True)
     four.add_argument("--target", required=True)
@@ -211,10 +221,20 @@ def _run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     print(asdict(done))
 
 
+def _run_follow(spark: SparkSession, args: argparse.Namespace) -> None:
+    changes = spark.readStream.schema(CHANGES).json(args.changes)
+    ToolDimension(spark, args.state).follow(changes, args.checkpoint, args.window_seconds, args.drain).awaitTermination()
+
+
 def _run_enrich(spark: SparkSession, args: argparse.Namespace) -> None:
-    load = tools_loader(spark, args.tools, args.tools_format)
     outputs = Outputs.under(args.output)
-    sync_tools(load(), f"{args.output.rstrip('/')}/tools")
+    if args.tools_state:
+        dimension = ToolDimension(spark, args.tools_state)
+        load, tools = dimension.current, dimension.tools()
+    else:
+        load = tools_loader(spark, args.tools, args.tools_format)
+        tools = load()
+    sync_tools(tools, f"{args.output.rstrip('/')}/tools")
     if args.messages:
         stream = spark.readStream.option("maxBytesPerTrigger", args.max_bytes).text(args.messages)
     else:
@@ -246,6 +266,7 @@ def main(argv: list[str] | None = None) -> None:
     {
         "ingest": _run_ingest,
         "enrich": _run_enrich,
+        "follow-tools": _run_follow,
         "expire": _run_expire,
         "compact-logs": _run_compact_logs,
         "compact-tools": _run_compact,

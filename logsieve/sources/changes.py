@@ -23,10 +23,12 @@ from logsieve.sources.tools import checked_tools
 
 BUCKETS = 16
 _VERSIONS = "_versions"
-_STATE = (
-    "tool string, id bigint, name string, url string, has_ai string, ai_category string, score double, risk string, "
-    "updated_at timestamp, deleted boolean, bucket int"
+# A change of a tool, and the state: the last change of each, by what names the tool.
+CHANGES = (
+    "id bigint, name string, url string, has_ai string, ai_category string, score double, risk string, "
+    "updated_at timestamp, deleted boolean"
 )
+_STATE = f"tool string, {CHANGES}, bucket int"
 _KINDS = {"id": "bigint", "score": "double", "updated_at": "timestamp"}
 
 

@@ -8,6 +8,7 @@ import shutil
 
 import pytest
 
+from logsieve.jobs import main
 from logsieve.operators.enrich import classify, enrich
 from logsieve.operators.events import parse_events
 from logsieve.sources.changes import ToolDimension
@@ -109,3 +110,15 @@ def test_books_of_an_empty_batch(spark, tmp_path):
     dimension = ToolDimension(spark, str(tmp_path / "dim"))
     process_batch(events(spark, "x").limit(0), 0, dimension.current(), outputs)
     assert [tuple(r) for r in spark.read.parquet(outputs.metrics).select("read", "kept", "rejected", "dropped").collect()] == [(0, 0, 0, 0)]
+
+
+def test_the_jobs(spark, tmp_path):
+    feed, state, inbox, out = (tmp_path / n for n in ("feed", "state", "in", "out"))
+    feed.mkdir()
+    inbox.mkdir()
+    (feed / "0.json").write_text('{"id": 1, "name": "A", "url": "a.ai", "has_ai": "true", "updated_at": "2024-01-01T00:00:00Z"}\n')
+    (inbox / "0.txt").write_text(json.dumps({"logid": "5", "dstname": "a.ai", "eventtime": "2024-01-01T00:00:00Z"}) + "\n")
+    main(["follow-tools", "--changes", str(feed), "--state", str(state), "--checkpoint", str(tmp_path / "cp1"), "--drain"])
+    main(["enrich", "--messages", str(inbox), "--tools-state", str(state), "--output", str(out), "--checkpoint", str(tmp_path / "cp2"), "--drain"])
+    assert [(int(r.log_id), r.tool_name) for r in spark.read.parquet(f"{out}/logs").collect()] == [(5, "A")]
+    assert spark.read.parquet(f"{out}/tools").count() == 1
