@@ -1,6 +1,7 @@
 """Byte-level BPE: texts to token ids and back, exactly as the rank file says.
 
-The tokenizers library does the merging. A text is cut by the vocabulary's pattern; each distinct
+The tiktoken library merges pieces of usual length, many in one call with a byte between them; the tokenizers
+library, whose time does not grow with their square, merges long ones. A text is cut by the vocabulary's pattern; each distinct
 piece is encoded once per worker and found again in a bounded table, because natural text repeats
 its pieces. Offsets come from the byte lengths of the tokens, mapped from bytes to characters.
 Decoding concatenates the bytes of the tokens; a character that is split over tokens is whole
@@ -21,17 +22,20 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsieve.llm.base import lists, released, with_arrow_columns
+from logsieve.llm.base import lists, released, slices, with_arrow_columns
 
 # Pieces kept per task (twice, with the older half), and the longest that is kept.
 KEPT_PIECES = 60_000
 KEPT_CHARS = 64
 # Bytes of text that are encoded at once, about.
 SLICE = 2 << 20
+# Ids that are decoded at once, about.
+DECODED = 1 << 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -104,10 +108,11 @@ def _is_latin(text: str) -> bool:
 
 
 class Codec:
-    """What a worker holds: the tokenizer, the bytes of each id, and the pieces met so far."""
+    """What a worker holds: the tokenizers, the bytes of each id, and the pieces met so far."""
 
     def __init__(self, spec: str, pattern: str, ranks: dict[bytes, int], newer: str):
         import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core already
@@ -120,6 +125,13 @@ class Codec:
         for token, i in ranks.items():
             self.bytes[i] = token
         self.length = np.array([len(b) for b in self.bytes], dtype=np.int64)
+        # Many pieces as one text with a zero byte between them, whose token ends each piece.
+        self.end = ranks.get(b"\0")
+        self.many = None
+        if all(bytes([b]) in ranks for b in range(256)) and len(set(ranks.values())) == len(ranks):
+            self.many = tiktoken.Encoding("pieces", pat_str=r"[^\x00]+|\x00", mergeable_ranks=ranks, special_tokens={})
+        self.joined = np.frombuffer(b"".join(self.bytes), dtype=np.uint8)
+        self.start = np.cumsum(self.length) - self.length
         self.inside = np.array([bool(b) and 0x80 <= b[0] < 0xC0 for b in self.bytes], dtype=bool)
 
     def pieces(self, text: str) -> list[str]:
@@ -130,6 +142,15 @@ class Codec:
 
     def learn(self, pieces: list[str]) -> None:
         """Encode pieces that are not in the table, many at once; each is a word of its own."""
+        if self.many is not None:
+            short = [p for p in pieces if len(p) <= KEPT_CHARS and "\0" not in p]
+            pieces = [p for p in pieces if len(p) > KEPT_CHARS or "\0" in p]
+            for at in range(0, len(short), 20_000):
+                part = short[at : at + 20_000]
+                ids = np.array(self.many.encode_ordinary("\0".join(part) + "\0"), dtype=np.int32)
+                ends = np.flatnonzero(ids == self.end)
+                data, starts = ids.tobytes(), [0, *(ends * 4 + 4).tolist()]
+                self.kept.update(zip(part, (data[a:b] for a, b in zip(starts, (ends * 4).tolist()))))
         for at in range(0, len(pieces), 5_000):
             part = pieces[at : at + 5_000]
             encoded = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
@@ -168,6 +189,15 @@ class Codec:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
+    def decode_many(self, ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+        """What ``decode`` makes of lists of these lengths, whose ids stand in a row."""
+        n = self.length[ids]
+        ends = np.r_[0, np.cumsum(n)]
+        data = self.joined[np.repeat(self.start[ids] - ends[:-1], n) + np.arange(ends[-1])]
+        offsets = ends[np.r_[0, np.cumsum(lengths)]].astype(np.int32)
+        buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
+        return pa.Array.from_buffers(pa.binary(), len(lengths), buffers)
+
 
 @lru_cache(maxsize=1)
 def _codec(spec: str, pattern: str, ids: bytes, lengths: bytes, tokens: bytes, newer: str) -> Codec:
@@ -241,11 +271,12 @@ def decode(
         for batch in batches:
             at = batch.schema.get_field_index("__ids")
             rest = [i for i in range(batch.num_columns) if i != at]
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                decoded = [own.decode(x or ()) for x in part.column(at).to_pylist()]
+            lengths = pc.fill_null(pc.list_value_length(batch.column(at)), 0)
+            for part in slices(batch, lengths.to_pylist(), DECODED):
+                n = pc.fill_null(pc.list_value_length(part.column(at)), 0).to_numpy().astype(np.int64)
+                decoded = own.decode_many(part.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.int64, casting="safe"), n)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i) for i in rest), pa.array(decoded, type=pa.binary())],
+                    [*(part.column(i) for i in rest), decoded],
                     names=[*(batch.schema.field(i).name for i in rest), "decoded"],
                 )
 

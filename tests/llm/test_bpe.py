@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -73,3 +74,53 @@ def test_split_characters(codec):
     assert len(ids) > 1
     assert decoded_text(codec.decode(ids.tolist())) == "🜁"
     assert "�" in decoded_text(codec.decode(ids.tolist()[:1]))
+
+
+def test_pieces_are_merged_in_few_calls(codec, exact, monkeypatch):
+    """New pieces of usual length take no call of the slower library; long ones and zero bytes do, with the same ids."""
+    calls = []
+
+    class Counted:
+        def encode(self, part, **options):
+            calls.append(list(part))
+            return tokenizer.encode(part, **options)
+
+    tokenizer = codec.tokenizer
+    monkeypatch.setattr(codec, "tokenizer", Counted())
+    codec.forget()
+    usual = [t for t in random_texts(2000, 5) if max(map(len, codec.pieces(t)), default=0) <= 64]
+    odd = ["\0", "a\0\0b \0", "!\0?" * 30, "x" * 65, " " * 300 + "y", "z" * 50_000]
+    for texts, any_calls in ((usual, False), (odd, True)):
+        for text, got in zip(texts, codec.encode(texts)):
+            assert "z" * 50_000 in text or got.tolist() == exact.encode_ordinary(text), text
+            assert codec.decode(got.tolist()).decode() == text
+        assert bool(calls) == any_calls
+    codec.forget()
+
+
+def test_pieces_with_other_ranks():
+    """A vocabulary without some bytes, and one whose ids have gaps."""
+    whole = {bytes([b]): 2 * b for b in range(256)} | {b"ab": 600, b"abc": 700}
+    for ranks in (whole, {t: i for t, i in whole.items() if t != b"\0"}):
+        codec = Codec(build_tokenizer(ranks), public_tokenizers.PATTERN, ranks, "")
+        (ids,) = codec.encode(["abcab c"])
+        assert ids.tolist() == [700, 600, 64, 198]
+
+
+def test_decode_many(codec):
+    texts = ["", "añb 🙂", "", "x" * 1000, ""]
+    ids = codec.encode(texts)
+    got = codec.decode_many(codec.encode([""])[0].astype("int64"), [0, 0]).to_pylist()
+    assert got == [b"", b""]
+    flat = [i for x in ids for i in x.tolist()]
+    many = codec.decode_many(np.array(flat), [len(x) for x in ids])
+    assert many.to_pylist() == [t.encode() for t in texts]
+
+
+def test_decode_of_null_lists(spark, ranks):
+    docs = spark.createDataFrame([(1, [72, 73]), (2, None), (3, [])], "doc_id long, ids array<int>")
+    got = {r.doc_id: bytes(r.decoded) for r in decode(docs, ranks, public_tokenizers.PATTERN).collect()}
+    name = {i: t for t, i in ranks.items()}
+    assert got == {1: name[72] + name[73], 2: b"", 3: b""}
+    with pytest.raises(Exception):
+        decode(spark.createDataFrame([(1, [10_000_000])], "doc_id long, ids array<int>"), ranks, public_tokenizers.PATTERN).collect()
