@@ -165,7 +165,7 @@ def test_place_joins_a_word_over_batches(spark, monkeypatch):
 
 
 def test_classes_of_words_met_are_a_distribution(spark, monkeypatch):
-    """The shares of all words after the start of a text, and of as many unknown ones as were met once, sum to one."""
+    """Texts of one word, with as many unknown words as were met once and one more by checksum: less than one in all."""
     monkeypatch.setattr(brown, "KNOWN", 40)
     rows = [(d, t) for d, t in corpus()[:300]]
     words = Counter(w for d, t in rows if not held(d) for w in split(t) if w)
